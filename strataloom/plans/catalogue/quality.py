@@ -1,0 +1,177 @@
+"""Coverage and constraint audits."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ...operators import parties, quality
+from ...operators.flatten import unnest
+from ...schemas import Table
+from ..given import Given
+from ..registry import query
+from .joins import post_versions
+
+
+def raw_names(g: Given) -> dict[str, DataFrame]:
+    """Every mention of a dictionary name in the raw layer."""
+    return {
+        "parties": parties.all_party_names(g.models, g.papers, g.posts),
+        "datasets": unnest(g.models, "dataset", "name"),
+        "authors": unnest(g.papers, "authors", "name"),
+        "keywords": unnest(g.papers, "ai_keywords", "name"),
+    }
+
+
+def dictionaries(g: Given) -> dict[str, DataFrame]:
+    """Dictionaries with holes: each knows what one given table holds."""
+    prefixed = {
+        "datasets": g.table("part").selectExpr("concat('ds', p_size) AS name"),
+        "authors": g.table("supplier").selectExpr("concat('author', s_suppkey) AS name"),
+        "keywords": g.table("conversations").select(F.explode(F.split("text", " ")).alias("name")),
+    }
+    owners = g.known_users.unionByName(g.table("events").selectExpr("concat('member', user_id) AS name"))
+    return {"parties": owners.distinct()} | {k: d.distinct() for k, d in prefixed.items()}
+
+
+_RAW_SQL = {
+    "raw_names": """
+        SELECT 'parties' AS dictionary, name FROM (
+          SELECT owner AS name FROM ods_models
+          UNION ALL SELECT submitted_by FROM ods_papers
+          UNION ALL SELECT organization FROM ods_papers
+          UNION ALL SELECT nullif(trim(author), '') FROM ods_posts
+          UNION ALL SELECT nullif(trim(unnest(r.users)), '')
+            FROM (SELECT unnest(reactions) AS r FROM ods_posts)) WHERE name IS NOT NULL
+        UNION ALL SELECT 'datasets', unnest(dataset) FROM ods_models
+        UNION ALL SELECT 'authors', unnest(authors) FROM ods_papers
+        UNION ALL SELECT 'keywords', unnest(ai_keywords) FROM ods_papers""",
+    "dds_names": """
+        SELECT DISTINCT 'parties' AS dictionary, name FROM (
+          SELECT name FROM known_users UNION ALL SELECT 'member' || user_id FROM events)
+        UNION ALL SELECT DISTINCT 'datasets', 'ds' || p_size FROM part
+        UNION ALL SELECT DISTINCT 'authors', 'author' || s_suppkey FROM supplier
+        UNION ALL SELECT DISTINCT 'keywords', unnest(string_split(text, ' ')) FROM conversations""",
+    "missing": """
+        SELECT DISTINCT dictionary, name FROM raw_names
+        WHERE (dictionary, name) NOT IN (SELECT (dictionary, name) FROM dds_names)""",
+    "totals": """
+        SELECT dictionary, count(*) AS ods_total_count, count(DISTINCT name) AS ods_unique_count,
+          (SELECT count(*) FROM dds_names d WHERE d.dictionary = r.dictionary) AS dds_unique_count,
+          (SELECT count(*) FROM missing m WHERE m.dictionary = r.dictionary) AS missing_count
+        FROM raw_names r GROUP BY 1""",
+}
+_COVERAGE_SQL = """
+    SELECT t.*, (SELECT array_to_string(list_slice(list_sort(list(name)), 1, 10), ',')
+      FROM missing m WHERE m.dictionary = t.dictionary) AS missing_sample
+    FROM totals t"""
+
+
+@query(_COVERAGE_SQL, _RAW_SQL)
+def dq_coverage(g: Given) -> DataFrame:
+    """All four dictionaries at once."""
+    return quality.coverage(raw_names(g), dictionaries(g))
+
+
+def _one(g: Given, name: str) -> DataFrame:
+    return quality.coverage({name: raw_names(g)[name]}, {name: dictionaries(g)[name]})
+
+
+def _one_sql(name: str) -> str:
+    return f"SELECT * FROM ({_COVERAGE_SQL}) WHERE dictionary = '{name}'"
+
+
+@query(_one_sql("parties"), _RAW_SQL)
+def dq_coverage_parties(g: Given) -> DataFrame:
+    return _one(g, "parties")
+
+
+@query(_one_sql("datasets"), _RAW_SQL)
+def dq_coverage_datasets(g: Given) -> DataFrame:
+    return _one(g, "datasets")
+
+
+@query(_one_sql("authors"), _RAW_SQL)
+def dq_coverage_authors(g: Given) -> DataFrame:
+    return _one(g, "authors")
+
+
+@query(_one_sql("keywords"), _RAW_SQL)
+def dq_coverage_keywords(g: Given) -> DataFrame:
+    return _one(g, "keywords")
+
+
+@query(
+    """
+    SELECT dictionary, ods_total_count, ods_unique_count, dds_unique_count,
+      CASE WHEN missing_count = 0 THEN '✓' ELSE '✗' END AS coverage FROM totals""",
+    _RAW_SQL,
+)
+def dq_report(g: Given) -> DataFrame:
+    return quality.report(quality.coverage(raw_names(g), dictionaries(g)))
+
+
+@query("SELECT 'datasets' AS dictionary, count(DISTINCT d) AS names FROM (SELECT unnest(dataset) AS d FROM ods_models)")
+def dq_gate(g: Given) -> DataFrame:
+    """Passes a dictionary built from the raw layer and stops at one with holes."""
+    names = unnest(g.models, "dataset", "name")
+    full = quality.coverage({"datasets": names}, {"datasets": names.distinct()})
+    quality.gate(full)
+    holes = names.where("name <> 'ds1'").distinct()
+    try:
+        quality.gate(quality.coverage({"datasets": names}, {"datasets": holes}))
+    except quality.CoverageError:
+        return full.select("dictionary", F.col("dds_unique_count").alias("names"))
+    raise AssertionError("the gate let a gap pass")
+
+
+_ORDERS = Table(
+    "given.orders",
+    "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string",
+    key=("o_orderkey",),
+    unique=("o_custkey",),
+    refs={"o_custkey": "given.nation"},
+    required=("o_orderkey", "o_orderstatus"),
+    max_length={"o_orderpriority": 6},
+)
+
+
+@query("""
+    SELECT 'given.orders' AS table_name, 'not_null' AS rule, 'o_orderkey' AS column_name,
+      count(*) FILTER (o_orderkey IS NULL) AS violations FROM orders
+    UNION ALL SELECT 'given.orders', 'not_null', 'o_orderstatus',
+      count(*) FILTER (o_orderstatus IS NULL) FROM orders
+    UNION ALL SELECT 'given.orders', 'length', 'o_orderpriority',
+      count(*) FILTER (length(o_orderpriority) > 6) FROM orders
+    UNION ALL SELECT 'given.orders', 'key', 'o_orderkey', count(*) FROM (
+      SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)
+    UNION ALL SELECT 'given.orders', 'unique', 'o_custkey', count(*) FROM (
+      SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) > 1)
+    UNION ALL SELECT 'given.orders', 'reference', 'o_custkey', count(*) FROM orders
+      WHERE o_custkey NOT IN (SELECT n_nationkey FROM nation)""")
+def dq_constraints(g: Given) -> DataFrame:
+    """Key, unique, reference, not-null and length rules of a table that breaks some."""
+    nations = g.table("nation").select(F.col("n_nationkey").cast("long").alias("id"))
+    return quality.audit(g.table("orders"), _ORDERS, {"given.nation": nations})
+
+
+@query("SELECT 'posts' AS table_name, 0::BIGINT AS conflicts, count(DISTINCT slug) AS keys FROM ods_posts")
+def dq_one_current(g: Given) -> DataFrame:
+    """No key of a versioned dimension has two live versions."""
+    built = post_versions(g)
+    conflicts = quality.current_conflicts(built, "slug").agg(F.count(F.lit(1)).alias("conflicts"))
+    keys = built.agg(F.count_distinct("slug").alias("keys"))
+    return keys.select(
+        F.lit("posts").alias("table_name"), conflicts.scalar().alias("conflicts"), "keys"
+    )
+
+
+@query("SELECT 'documents' AS label, count(*) AS rows FROM documents")
+def dq_volume(g: Given) -> DataFrame:
+    """Rows counted by the job that uses them, here one that finds distinct sources."""
+    observed, seen = quality.with_volume(g.table("documents"), "documents")
+    observed.select("source").distinct().write.format("noop").mode("overwrite").save()
+    rows = seen.get["rows"]
+    return g.table("documents").limit(1).select(
+        F.lit("documents").alias("label"), F.lit(rows).cast("long").alias("rows")
+    )

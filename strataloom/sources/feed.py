@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ranking import top_k
+
 # Page length of the post feed, its look-back and the model feed's size.
 PAGE_ITEMS = 10
 LOOK_BACK_HOURS = 24
 TOP_MODELS = 50
 
 
-def top_by_score(df: DataFrame, n: int = TOP_MODELS, score: str = "trending_score") -> DataFrame:
-    """The n records with the highest score; equal scores by id."""
-    return df.orderBy(F.col(score).desc_nulls_last(), "id").limit(n)
+def top_by_score(
+    df: DataFrame,
+    n: int = TOP_MODELS,
+    score: str = "trending_score",
+    tie_break: Sequence[str] = ("id",),
+) -> DataFrame:
+    """The n records with the highest score."""
+    return top_k(df, n, score, tie_break)
 
 
 def recent_feed(
