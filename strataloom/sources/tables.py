@@ -138,6 +138,12 @@ class Warehouse:
     def frame(self, name: str) -> DataFrame:
         return self.spark.table(self.prefix + name)
 
+    def refresh(self, name: str) -> None:
+        """See what another session has stored in a table since it was last read."""
+        physical = [_live(name), _ended(name)] if table(name).versioned else [name]
+        for each in (*physical, name):
+            self.spark.catalog.refreshTable(self.prefix + each)
+
     def live(self, name: str) -> DataFrame:
         """The live versions of a versioned dimension."""
         spec = table(name)
@@ -231,12 +237,10 @@ class Warehouse:
         self._overwrite_partitions(staged, name)
 
     def _overwrite_partitions(self, df: DataFrame, name: str) -> None:
-        (
-            df.select(*self.frame(name).columns)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .insertInto(self.prefix + name)
-        )
+        # An insert takes the mode from the session only; without it the insert
+        # would empty the partitions it has no rows for.
+        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        df.select(*self.frame(name).columns).write.insertInto(self.prefix + name, overwrite=True)
         self.spark.catalog.refreshTable(self.prefix + name)
 
     def append(self, df: DataFrame, name: str) -> None:
