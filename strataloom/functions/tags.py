@@ -93,7 +93,7 @@ def classify_tags(tags: Column, vocabulary: TagVocabulary) -> Column:
         _or_null(F.transform(F.filter(tags, is_library), F.lower)).alias("library"),
         _or_null(F.transform(F.filter(tags, is_task), F.lower)).alias("task"),
         last_after("license:").alias("license"),
-        _or_null(F.array_sort(F.array_distinct(base_names))).alias("base_models"),
+        _or_null(F.sort_array(F.array_distinct(base_names))).alias("base_models"),
         F.get(_last(modified), F.lit(1)).alias("modification"),
         last_after("region:").alias("region"),
         last_after("diffusers:").alias("diffusers_pipeline"),

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# All Unicode white space plus the four ASCII separators.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# Everything that counts as white space at the ends of a name.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip_to_null(text: Column) -> Column:
     """Trim any white space from both ends; nothing left means NULL."""
-    return F.nullif(F.regexp_replace(text, _EDGE_SPACE, ""), F.lit(""))
+    return F.nullif(F.btrim(text, F.lit(WHITE_SPACE)), F.lit(""))
 
 
 def blank_to_null(text: Column) -> Column:
@@ -35,7 +39,7 @@ def slug(name: Column) -> Column:
 
 def sorted_join(items: Column) -> Column:
     """Comma-joined values in code-point order; an empty list is NULL."""
-    return F.nullif(F.array_join(F.array_sort(items), ","), F.lit(""))
+    return F.nullif(F.array_join(F.sort_array(items), ","), F.lit(""))
 
 
 def not_blank(text: Column, drop_null: bool = True, drop_empty: bool = True) -> Column:

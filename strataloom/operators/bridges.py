@@ -1,8 +1,11 @@
-"""Many-to-many tables."""
+"""Many-to-many tables.
 
-from __future__ import annotations
+Entities come one row per id, as a load has them after deduplication.  A list is
+reduced to its distinct elements in place, so the pairs are distinct without a
+shuffle.
+"""
 
-from collections.abc import Sequence
+from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +16,9 @@ from .lookups import with_code_id
 
 
 def pairs(entities: DataFrame, entity_id: str, array: str) -> DataFrame:
-    """Distinct (entity, element) pairs; repeats in one list go before any shuffle."""
+    """Distinct (entity, element) pairs."""
     once = entities.select(entity_id, F.array_distinct(array).alias(array))
-    return unnest(once, array, "element", [entity_id]).where("element IS NOT NULL").distinct()
+    return unnest(once, array, "element", [entity_id]).where("element IS NOT NULL")
 
 
 def code_bridge(
@@ -31,7 +34,7 @@ def code_bridge(
     found = with_code_id(
         pairs(entities, entity_id, array), dimension, code, "element", out, by_slug
     )
-    return found.select(entity_id, out).distinct()
+    return found.select(entity_id, out)
 
 
 def name_bridge(entities: DataFrame, entity_id: str, array: str, out: str) -> DataFrame:
@@ -43,8 +46,3 @@ def name_bridge(entities: DataFrame, entity_id: str, array: str, out: str) -> Da
     return pairs(entities, entity_id, array).select(
         entity_id, md5_key(F.col("element")).alias(out)
     )
-
-
-def new_pairs(bridge: DataFrame, found: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Pairs to append to a bridge."""
-    return found.join(bridge, list(key), "left_anti")

@@ -82,13 +82,17 @@ def with_name_key(df: DataFrame, name: str = "name") -> DataFrame:
     return df.select(md5_key(F.col(name)).alias("id"), *df.columns)
 
 
+def new_rows(base: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Incoming rows, already one per key, whose key the table does not have yet."""
+    return incoming.join(base.select(*key), list(key), "left_anti").select(*incoming.columns)
+
+
 def insert_ignore(base: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
     """Incoming rows whose key the table does not have yet, one per key.
 
     The result is what to append; existing rows are never touched.
     """
-    fresh = incoming.dropDuplicates(list(key))
-    return fresh.join(base.select(*key), list(key), "left_anti").select(*incoming.columns)
+    return new_rows(base, incoming.dropDuplicates(list(key)), key)
 
 
 def new_names(base: DataFrame, names: DataFrame, column: str = "name") -> DataFrame:

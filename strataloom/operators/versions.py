@@ -81,24 +81,29 @@ def apply_versions(
 
     Same hash: the version stays, with its id and owner.  Other hash: it ends at
     ``loaded_at`` and a new one starts.  New key: inserted.  Absent key: stays.
-    Only the hash of a key is joined, so the join moves two narrow columns.
+    The live side is only joined with the keys and hashes of the batch, so a
+    batch small enough to broadcast leaves a dimension of any size in place.
     """
     start = F.lit(loaded_at)
-    attributes = [c for c in current.columns if c not in VERSION_COLUMNS]
+    attributes = {c for c in current.columns if c not in VERSION_COLUMNS}
+    if not attributes <= set(incoming.columns):
+        raise ValueError(f"the batch lacks {sorted(attributes - set(incoming.columns))}")
     seen = incoming.select(key, F.col(change).alias("_new_hash"))
     compared = current.join(seen, key, "left")
-    changed = F.col("_new_hash").isNotNull() & (F.col("_new_hash") != F.col(change))
+    known = F.col("_new_hash").isNotNull()
+    stays = ~known | (F.col("_new_hash") == F.col(change))
 
     closed = (
-        compared.where(changed)
+        compared.where(~stays)
         .withColumn("valid_to", start)
         .withColumn("is_current", F.lit(False))
         .select(*current.columns)
     )
-    stays = compared.where(~changed)
-    known = current.select(key, F.col(change).alias("_old_hash"))
+    old_hash = current.join(seen.select(key), key, "left_semi").select(
+        key, F.col(change).alias("_old_hash")
+    )
     inserted = (
-        incoming.join(known, key, "left")
+        incoming.join(old_hash, key, "left")
         .where(~F.col("_old_hash").eqNullSafe(F.col(change)))
         .withColumn("id", version_key(F.col(key), start))
         .withColumn("valid_from", start)
@@ -106,13 +111,11 @@ def apply_versions(
         .withColumn("is_current", F.lit(True))
         .select(*current.columns)
     )
-    unchanged = stays.where(F.col("_new_hash").isNotNull()).select(*current.columns)
-    assert set(attributes) <= set(incoming.columns), "incoming lacks attributes"
     return VersionChange(
-        current=stays.select(*current.columns).unionByName(inserted),
+        current=compared.where(stays).select(*current.columns).unionByName(inserted),
         closed=closed,
         inserted=inserted,
-        unchanged=unchanged,
+        unchanged=compared.where(stays & known).select(*current.columns),
     )
 
 

@@ -42,9 +42,9 @@ def _text(moment: dt.datetime) -> str:
 # -- versions ---------------------------------------------------------------
 
 
-def model_rows(g: Given) -> DataFrame:
+def model_rows(g: Given, raw: DataFrame) -> DataFrame:
     """Model rows the detail layer accepts, with their change hash."""
-    rows = with_calendar(flows.prepared_models(g.models), g.dates, "created_at")
+    rows = with_calendar(flows.prepared_models(raw), g.dates, "created_at")
     return rows.where("owner IS NOT NULL AND date_id IS NOT NULL").select(
         "name", "owner", "license", "hashdiff", *MODEL_ORDER
     )
@@ -65,16 +65,18 @@ def _shown(df: DataFrame, *columns: str) -> DataFrame:
 )
 def scd2_versions(g: Given) -> DataFrame:
     """Every version of every model over the whole history of loads."""
-    built = versions.rebuild_versions(model_rows(g), "name", order=MODEL_ORDER[1:])
+    built = versions.rebuild_versions(model_rows(g, g.models), "name", order=MODEL_ORDER[1:])
     return _shown(built, "name", "owner", "license", "hashdiff")
 
 
 def _applied(
-    rows: DataFrame, key: str, order: tuple[str, ...], cut: dt.datetime, load: dt.datetime
+    g: Given, rows: DataFrame, key: str, order: tuple[str, ...], cut: dt.datetime, load: dt.datetime
 ) -> DataFrame:
     """Live and ended versions after one load onto the history before ``cut``."""
     before = rows.where(F.col("loaded_at") < F.lit(cut))
-    live = versions.rebuild_versions(before, key, order=order).where("is_current")
+    live = g.stored(
+        versions.rebuild_versions(before, key, order=order).where("is_current"), "live-versions"
+    )
     after = rows.where(F.col("loaded_at").between(F.lit(cut), F.lit(load)))
     incoming = latest.latest_by_key(after, [key], ["loaded_at", *order])
     change = versions.apply_versions(live, incoming, key, load)
@@ -116,7 +118,8 @@ def _incoming_sql(rows: str, key: str, order: str, cut: dt.datetime, load: dt.da
     },
 )
 def scd2_models(g: Given) -> DataFrame:
-    applied = _applied(model_rows(g), "name", MODEL_ORDER[1:], MODEL_CUT, MODEL_LOAD)
+    rows = model_rows(g, g.raw_models)
+    applied = _applied(g, rows, "name", MODEL_ORDER[1:], MODEL_CUT, MODEL_LOAD)
     return _shown(applied, "name", "license", "hashdiff")
 
 
@@ -133,7 +136,7 @@ def scd2_posts(g: Given) -> DataFrame:
         "slug", "content_raw", "hashdiff", "loaded_at", "position"
     )
     return _shown(
-        _applied(rows, "slug", ("position",), POST_CUT, POST_LOAD), "slug", "content_raw", "hashdiff"
+        _applied(g, rows, "slug", ("position",), POST_CUT, POST_LOAD), "slug", "content_raw", "hashdiff"
     )
 
 
@@ -245,14 +248,14 @@ def upsert_post_metrics(g: Given) -> DataFrame:
 def post_load(g: Given) -> flows.Load:
     """The whole post feed as one load onto an empty detail layer."""
     return flows.posts_load(
-        g.posts, no_rows(g, "dds.parties"), no_rows(g, "dds.dim_posts"),
+        g.raw_posts, no_rows(g, "dds.parties"), no_rows(g, "dds.dim_posts"),
         flows.StaticDimensions.generate(g.spark), POST_LOAD, ["loaded_at", "position"],
     )
 
 
 def model_load(g: Given) -> flows.Load:
     return flows.models_load(
-        g.models, no_rows(g, "dds.parties"), no_rows(g, "dds.dim_models"), g.known_users,
+        g.raw_models, no_rows(g, "dds.parties"), no_rows(g, "dds.dim_models"), g.known_users,
         flows.StaticDimensions.generate(g.spark), MODEL_LOAD, MODEL_ORDER,
     )
 
@@ -264,7 +267,7 @@ def paper_load(g: Given, part: DataFrame, live: DataFrame, moment: dt.datetime)
 
 def paper_loads(g: Given) -> tuple[flows.Load, flows.Load]:
     """The two loads of the paper feed, one after the other."""
-    parts = [g.papers.where(F.col("loaded_at") == F.lit(m)) for m in PAPER_LOADS]
+    parts = [g.raw_papers.where(F.col("loaded_at") == F.lit(m)) for m in PAPER_LOADS]
     first = paper_load(g, parts[0], no_rows(g, "dds.parties"), PAPER_LOADS[0])
     live = first.versions["dds.parties"].current
     return first, paper_load(g, parts[1], live, PAPER_LOADS[1])
@@ -403,7 +406,7 @@ def bridge_papers_keywords(g: Given) -> DataFrame:
 
 def _merged_bridge(g: Given, name: str, key: list[str]) -> DataFrame:
     first, second = (load.rows[name] for load in paper_loads(g))
-    return first.unionByName(dimensions.insert_ignore(first, second, key))
+    return first.unionByName(dimensions.new_rows(first, second, key))
 
 
 @query("""

@@ -14,12 +14,12 @@ from .joins import post_versions
 
 
 def raw_names(g: Given) -> dict[str, DataFrame]:
-    """Every mention of a dictionary name in the raw layer."""
+    """Every mention of a dictionary name in the stored raw layer."""
     return {
-        "parties": parties.all_party_names(g.models, g.papers, g.posts),
-        "datasets": unnest(g.models, "dataset", "name"),
-        "authors": unnest(g.papers, "authors", "name"),
-        "keywords": unnest(g.papers, "ai_keywords", "name"),
+        "parties": parties.all_party_names(g.raw_models, g.raw_papers, g.raw_posts),
+        "datasets": unnest(g.raw_models, "dataset", "name"),
+        "authors": unnest(g.raw_papers, "authors", "name"),
+        "keywords": unnest(g.raw_papers, "ai_keywords", "name"),
     }
 
 
@@ -73,8 +73,8 @@ def dq_coverage(g: Given) -> DataFrame:
     return quality.coverage(raw_names(g), dictionaries(g))
 
 
-def _one(g: Given, name: str) -> DataFrame:
-    return quality.coverage({name: raw_names(g)[name]}, {name: dictionaries(g)[name]})
+def _one(name: str, raw: DataFrame, known: DataFrame) -> DataFrame:
+    return quality.coverage({name: raw}, {name: known})
 
 
 def _one_sql(name: str) -> str:
@@ -83,22 +83,26 @@ def _one_sql(name: str) -> str:
 
 @query(_one_sql("parties"), _RAW_SQL)
 def dq_coverage_parties(g: Given) -> DataFrame:
-    return _one(g, "parties")
+    names = parties.all_party_names(g.models, g.papers, g.posts)
+    return _one("parties", names, dictionaries(g)["parties"])
 
 
 @query(_one_sql("datasets"), _RAW_SQL)
 def dq_coverage_datasets(g: Given) -> DataFrame:
-    return _one(g, "datasets")
+    names = unnest(g.models, "dataset", "name")
+    return _one("datasets", names, dictionaries(g)["datasets"])
 
 
 @query(_one_sql("authors"), _RAW_SQL)
 def dq_coverage_authors(g: Given) -> DataFrame:
-    return _one(g, "authors")
+    names = unnest(g.papers, "authors", "name")
+    return _one("authors", names, dictionaries(g)["authors"])
 
 
 @query(_one_sql("keywords"), _RAW_SQL)
 def dq_coverage_keywords(g: Given) -> DataFrame:
-    return _one(g, "keywords")
+    names = unnest(g.papers, "ai_keywords", "name")
+    return _one("keywords", names, dictionaries(g)["keywords"])
 
 
 @query(
@@ -114,7 +118,7 @@ def dq_report(g: Given) -> DataFrame:
 @query("SELECT 'datasets' AS dictionary, count(DISTINCT d) AS names FROM (SELECT unnest(dataset) AS d FROM ods_models)")
 def dq_gate(g: Given) -> DataFrame:
     """Passes a dictionary built from the raw layer and stops at one with holes."""
-    names = unnest(g.models, "dataset", "name")
+    names = unnest(g.raw_models, "dataset", "name")
     full = quality.coverage({"datasets": names}, {"datasets": names.distinct()})
     quality.gate(full)
     holes = names.where("name <> 'ds1'").distinct()

@@ -21,7 +21,7 @@ from ..functions.numbers import nan_to_null, safe_int
 from ..functions.records import or_empty
 from ..functions.text import strip_to_null
 from ..operators import bridges, dimensions
-from ..operators.dimensions import insert_ignore
+from ..operators.dimensions import insert_ignore, new_rows
 from ..operators.flatten import distinct_elements, explode_reactions, reaction_total
 from ..operators.latest import latest_by_key, touched_partitions
 from ..operators.lookups import reasons, split_rejects, with_calendar, with_code_id, with_party_id
@@ -65,8 +65,8 @@ class Load:
     """What one load changes.
 
     ``versions`` are versioned dimensions, ``rows`` candidates for insert-only
-    tables and bridges, ``facts`` rows of fact tables, ``rejects`` what was left
-    out and why.  ``shared`` frames feed several of these.
+    tables and bridges, one per key, ``facts`` rows of fact tables, ``rejects`` what
+    was left out and why.  ``shared`` frames feed several of these.
     """
 
     loaded_at: dt.datetime
@@ -105,20 +105,15 @@ def models_load(
     owners = one_per_name(owner_types(rows.select(F.col("owner").alias("name")), known_users))
     party_change = apply_versions(parties, owners, "name", loaded_at)
 
-    dated = with_calendar(rows, static.date, "created_at")
-    owned = with_party_id(
-        dated.withColumnRenamed("owner", "owner_name"), party_change.current, "owner_name",
-        "owner_id",
-    )
+    # Every owner is a party by now, so a row's own columns decide on its fate.
     accepted, rejects = split_rejects(
-        owned,
-        reasons(
-            no_owner=F.col("owner_id").isNotNull(), no_created_date=F.col("date_id").isNotNull()
-        ),
-    )
-    incoming = accepted.select(
-        "name", "owner_id", *MODEL_ATTRIBUTES, "date_id", "time_id", "hashdiff"
+        with_calendar(rows, static.date, "created_at"),
+        reasons(no_owner=F.col("owner").isNotNull(), no_created_date=F.col("date_id").isNotNull()),
     )
+    incoming = with_party_id(
+        accepted.select("name", "owner", *MODEL_ATTRIBUTES, "date_id", "time_id", "hashdiff"),
+        party_change.current, "owner", "owner_id", how="inner",
+    ).drop("owner")
     change = apply_versions(models, incoming, "name", loaded_at)
     ids = entity_ids(change, "name", "model_id")
     known = rows.join(ids, "name")
@@ -174,18 +169,17 @@ def papers_load(
     )
     party_change = apply_versions(parties, one_per_name(paper_parties(rows)), "name", loaded_at)
     live = party_change.current
+    # Every submitter is a party by now, so a row's own columns decide on its fate.
     keyed = with_calendar(rows, static.date, "published_at", "publish_")
-    keyed = with_calendar(keyed, static.date, "submitted_at", "submitted_")
-    keyed = with_party_id(keyed, live, "submitted_by", "submitted_by_id")
-    keyed = with_party_id(keyed, live, "organization", "organization_id")
     accepted, rejects = split_rejects(
-        keyed,
+        with_calendar(keyed, static.date, "submitted_at", "submitted_"),
         reasons(
-            no_submitter=F.col("submitted_by_id").isNotNull(),
+            no_submitter=F.col("submitted_by").isNotNull(),
             no_submitted_date=F.col("submitted_date_id").isNotNull(),
         ),
     )
-    papers = accepted.select(
+    papers = with_party_id(accepted.drop("authors", "ai_keywords"), live, "submitted_by", "submitted_by_id")
+    papers = with_party_id(papers, live, "organization", "organization_id").select(
         "id", "source_id", "title", "summary", "upvotes", "comments", "submitted_by_id",
         "organization_id", "ai_summary", "publish_date_id", "publish_time_id",
         "submitted_date_id", "submitted_time_id",
@@ -230,18 +224,20 @@ def posts_load(
     live = party_change.current
 
     dated = with_calendar(rows, static.date, "published_at", "publish_")
-    dated = with_calendar(dated, static.date, "updated_at", "update_")
     accepted, rejects = split_rejects(
-        with_party_id(dated, live, "author", "author_id"),
+        with_calendar(dated, static.date, "updated_at", "update_"),
         reasons(
-            no_author=F.col("author_id").isNotNull(),
+            no_author=F.col("author").isNotNull(),
             no_publish_date=F.col("publish_date_id").isNotNull(),
         ),
     )
-    incoming = accepted.select(
-        "slug", "author_id", F.coalesce("content_raw", F.lit("")).alias("content_raw"),
-        "publish_date_id", "publish_time_id", "update_date_id", "update_time_id", "hashdiff",
-    )
+    incoming = with_party_id(
+        accepted.select(
+            "slug", "author", F.coalesce("content_raw", F.lit("")).alias("content_raw"),
+            "publish_date_id", "publish_time_id", "update_date_id", "update_time_id", "hashdiff",
+        ),
+        live, "author", "author_id", how="inner",
+    ).drop("author")
     change = apply_versions(posts, incoming, "slug", loaded_at)
     known = rows.join(entity_ids(change, "slug", "post_id"), "slug")
 
@@ -290,7 +286,7 @@ def commit(warehouse: Warehouse, load: Load, writers: int = 4) -> None:
 
     def store_rows(name: str) -> None:
         key = table(name).unique or table(name).key
-        warehouse.append(insert_ignore(warehouse.frame(name), load.rows[name], key), name)
+        warehouse.append(new_rows(warehouse.frame(name), load.rows[name], key), name)
 
     for frame in load.shared:
         frame.persist()

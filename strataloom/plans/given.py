@@ -18,7 +18,7 @@ from ..functions.tags import TagVocabulary
 from ..functions.vocabulary import LIBRARIES, REACTIONS, task_names
 from ..operators.dimensions import dim_date
 from ..operators.marts import DetailTables
-from ..session import prepare, spread
+from ..session import fresh_dir, prepare, spread
 
 # Ship dates are moved forward so that the whole history lies in the calendar.
 SHIFT_DAYS = 1826
@@ -205,6 +205,24 @@ class Given:
     def posts(self) -> DataFrame:
         return project_posts(self.post_feed)
 
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        path = fresh_dir(self.spark, label)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    @cached_property
+    def raw_models(self) -> DataFrame:
+        """The raw layer as stored, for plans that read it more than once."""
+        return self.stored(self.models, "raw-models")
+
+    @cached_property
+    def raw_papers(self) -> DataFrame:
+        return self.stored(self.papers, "raw-papers")
+
+    @cached_property
+    def raw_posts(self) -> DataFrame:
+        return self.stored(self.posts, "raw-posts")
+
     # -- detail layer as the marts see it ----------------------------------
 
     @property
