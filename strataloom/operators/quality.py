@@ -13,16 +13,25 @@ from ..schemas import Table
 SAMPLE_SIZE = 10
 
 
-def coverage(raw: Mapping[str, DataFrame], dictionaries: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per dictionary: raw mentions, distinct names, missing names and a sample.
+def compare_names(
+    raw: Mapping[str, DataFrame], dictionaries: Mapping[str, DataFrame]
+) -> DataFrame:
+    """Every name of either side: mentions in the raw layer, presence in the dictionary.
 
     Names are counted before they are compared, so a very common name is one row
-    by the time of the join.  All missing names are counted; the sample is the
-    first few in order.
+    by the time of the join.  ``coverage`` reads the result twice; store it when
+    the raw layer is large.
     """
     mentioned = _labelled(raw).groupBy("dictionary", "name").agg(F.count(F.lit(1)).alias("n"))
     known = _labelled(dictionaries).distinct().withColumn("known", F.lit(True))
-    compared = mentioned.join(known, ["dictionary", "name"], "full_outer")
+    return mentioned.join(known, ["dictionary", "name"], "full_outer")
+
+
+def coverage(compared: DataFrame) -> DataFrame:
+    """One row per dictionary: raw mentions, distinct names, missing names and a sample.
+
+    All missing names are counted; the sample is the first few in order.
+    """
     is_missing = F.col("known").isNull()
     totals = compared.groupBy("dictionary").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("ods_total_count"),
@@ -30,11 +39,8 @@ def coverage(raw: Mapping[str, DataFrame], dictionaries: Mapping[str, DataFrame]
         F.count("known").alias("dds_unique_count"),
         F.count_if(is_missing).alias("missing_count"),
     )
-    return totals.join(
-        first_values(compared.where(is_missing), "dictionary", "name", "missing_sample"),
-        "dictionary",
-        "left",
-    )
+    sample = first_values(compared.where(is_missing), "dictionary", "name", "missing_sample")
+    return totals.join(sample, "dictionary", "left")
 
 
 def first_values(

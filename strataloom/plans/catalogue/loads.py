@@ -42,9 +42,9 @@ def _text(moment: dt.datetime) -> str:
 # -- versions ---------------------------------------------------------------
 
 
-def model_rows(g: Given, raw: DataFrame) -> DataFrame:
+def model_rows(g: Given) -> DataFrame:
     """Model rows the detail layer accepts, with their change hash."""
-    rows = with_calendar(flows.prepared_models(raw), g.dates, "created_at")
+    rows = with_calendar(flows.prepared_models(g.models), g.dates, "created_at")
     return rows.where("owner IS NOT NULL AND date_id IS NOT NULL").select(
         "name", "owner", "license", "hashdiff", *MODEL_ORDER
     )
@@ -65,7 +65,7 @@ def _shown(df: DataFrame, *columns: str) -> DataFrame:
 )
 def scd2_versions(g: Given) -> DataFrame:
     """Every version of every model over the whole history of loads."""
-    built = versions.rebuild_versions(model_rows(g, g.models), "name", order=MODEL_ORDER[1:])
+    built = versions.rebuild_versions(model_rows(g), "name", order=MODEL_ORDER[1:])
     return _shown(built, "name", "owner", "license", "hashdiff")
 
 
@@ -118,7 +118,7 @@ def _incoming_sql(rows: str, key: str, order: str, cut: dt.datetime, load: dt.da
     },
 )
 def scd2_models(g: Given) -> DataFrame:
-    rows = model_rows(g, g.raw_models)
+    rows = model_rows(g)
     applied = _applied(g, rows, "name", MODEL_ORDER[1:], MODEL_CUT, MODEL_LOAD)
     return _shown(applied, "name", "license", "hashdiff")
 

@@ -140,7 +140,7 @@ class Given:
     @property
     def paper_feed(self) -> DataFrame:
         """One paper record per document; two documents are two loads of one paper."""
-        return self.table("documents").selectExpr(
+        return spread(self.table("documents"), "doc_id").selectExpr(
             "concat('2401.', lpad(cast(doc_id div 2 AS string), 5, '0')) AS id",
             """CASE WHEN doc_id % 17 <> 0 THEN array(concat('author', doc_id % 211),
                  concat('author', doc_id % 57)) END AS authors""",
