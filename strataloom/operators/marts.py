@@ -135,7 +135,9 @@ def trending_line(t: DetailTables, as_of: dt.date, distinct_models: bool = False
         F.count(F.lit(1)).alias("models_count"),
         *extra,
     )
-    median = percentile_by(metrics, ["date_id"], "trending_score", 0.5, "median")
+    median = percentile_by(
+        metrics, ["date_id"], "trending_score", 0.5, "median", few_groups=True
+    )
     return with_day(per_day.join(median, "date_id"), t.dates).select(
         F.col("date").alias("trend_date"),
         round_half_up(F.col("score") / F.col("scored"), 3).alias("avg_trending_score"),

@@ -42,14 +42,21 @@ def top_groups(
 
 
 def percentile_by(
-    df: DataFrame, group: Sequence[str], value: str, share: float = 0.5, name: str = "percentile"
+    df: DataFrame,
+    group: Sequence[str],
+    value: str,
+    share: float = 0.5,
+    name: str = "percentile",
+    few_groups: bool = False,
 ) -> DataFrame:
     """Exact continuous percentile per group, for groups of any size.
 
     The built-in aggregate keeps all distinct values of a group in one task.
     Here a bounded sketch first brackets the wanted rank; then one aggregation
     counts what lies below the bracket and counts each value inside it.  Only the
-    bracket, a thousandth of the group, is ordered.
+    bracket, a thousandth of the group, is ordered.  ``few_groups`` states that
+    their number is bounded, as days of a month are, so that the brackets may be
+    broadcast and the rows need no shuffle for them.
     """
     rows = df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_v"))
     shares = [max(0.0, share - _SKETCH_SLACK), min(1.0, share + _SKETCH_SLACK)]
@@ -59,6 +66,8 @@ def percentile_by(
     )
     low, high = F.col("_b")[0], F.col("_b")[1]
     bracket = sketch.withColumnsRenamed({g: f"_of_{g}" for g in group})
+    if few_groups:
+        bracket = F.broadcast(bracket)
     same_group = reduce(
         lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in group], F.lit(True)
     )

@@ -110,16 +110,21 @@ def mart_leaderboard_30d(g: Given) -> DataFrame:
     return _plain(board, "likes_ratio", "latest_trending_score")
 
 
-@query(f"""
+@query(
+    f"""
     SELECT 'unique_top7d' AS mart, count(*) AS n FROM unique_recent
     UNION ALL SELECT 'tag_pie', count(*) FROM (SELECT coalesce(pipeline_tag, 'no_tag') {_PIE})
     UNION ALL SELECT 'license_histogram', count(*) FROM (SELECT coalesce(license, 'no_license') {_PIE})
     UNION ALL SELECT 'modification_pie', count(*) FROM (
       SELECT coalesce(nullif(trim(upper(modification)), ''), 'ORIGINAL') {_PIE})
     UNION ALL SELECT 'owners_treemap', count(*) FROM ({_TREEMAP % 'dds_metrics'})
-    UNION ALL SELECT 'leaderboard_30d', 20
+    UNION ALL SELECT 'leaderboard_30d', least(20, count(*)) FROM latest
+      JOIN dds_models m ON model_id = m.id JOIN dds_parties p ON owner_id = p.id
+      WHERE is_current AND downloads > 0
     UNION ALL SELECT 'trending_line', count(DISTINCT day) FROM dds_metrics
-      WHERE day BETWEEN DATE '{AS_OF}' - 30 AND DATE '{AS_OF}'""")
+      WHERE day BETWEEN DATE '{AS_OF}' - 30 AND DATE '{AS_OF}'""",
+    _LEADERBOARD,
+)
 def mart_refresh_all(g: Given) -> DataFrame:
     """All marts written from one computation of the week's models."""
     root = fresh_dir(g.spark, "marts")

@@ -240,7 +240,11 @@ class Warehouse:
         # An insert takes the mode from the session only; without it the insert
         # would empty the partitions it has no rows for.
         self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        df.select(*self.frame(name).columns).write.insertInto(self.prefix + name, overwrite=True)
+        # The last column is the partition; rows are gathered by it, and a large
+        # partition is split again, so that files are neither many nor huge.
+        columns = self.frame(name).columns
+        even = df.select(*columns).hint("rebalance", columns[-1])
+        even.write.insertInto(self.prefix + name, overwrite=True)
         self.spark.catalog.refreshTable(self.prefix + name)
 
     def append(self, df: DataFrame, name: str) -> None:
