@@ -261,15 +261,17 @@ def owner_type(g: Given) -> DataFrame:
 
 
 @query("""
-    SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 1 END AS reactions,
+    SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 1 ELSE -1 END AS reactions,
       CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""")
 def json_guards(g: Given) -> DataFrame:
-    """Text that is no reaction list, as every second one here, is NULL."""
+    """Text that is no reaction list, as every second one here, is NULL, shown as -1."""
     k = F.get_json_object("props", "$.k")
     good = F.concat(F.lit('[{"reaction":"r","users":["u"],"count":'), k, F.lit("}]"))
     either = F.when(F.col("event_id") % 2 == 0, good).otherwise(F.lit("text"))
     return g.table("events").select(
-        "event_id", F.size(parse_reactions(either)).alias("reactions"), k.cast("int").alias("k")
+        "event_id",
+        F.coalesce(F.size(parse_reactions(either)), F.lit(-1)).alias("reactions"),
+        k.cast("int").alias("k"),
     )
 
 

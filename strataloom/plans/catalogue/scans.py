@@ -78,7 +78,8 @@ def _bench_rows(g: Given) -> DataFrame:
 @query(f"""
     SELECT id, {stamp_sql('created_at')} AS created_at, downloads, likes, modification,
       {stamp_sql('loaded_at')} AS loaded_at
-    FROM ods_models ORDER BY ods_models.loaded_at, id, downloads, likes, modification NULLS FIRST LIMIT 10000""")
+    FROM ods_models
+    ORDER BY ods_models.loaded_at, id, downloads, likes, modification NULLS FIRST LIMIT 10000""")
 def scan_jsonl_capped(g: Given) -> DataFrame:
     """The first 10,000 flat records of a JSON lines file, in load order."""
     path = _staged(g, _bench_rows(g), "bench")
