@@ -17,7 +17,10 @@ def day(n):
     return dt.datetime(2024, 1, n, tzinfo=UTC)
 
 
-def history(seed, loads=6, rows=40):
+LOADS = 4
+
+
+def history(seed, loads=LOADS, rows=40):
     """Rows of several loads, one hot key among them and repeats within a load."""
     rng = random.Random(seed)
     out = []
@@ -36,14 +39,14 @@ def keyed(df, *columns):
 ALL = ("id", "name", "colour", "hashdiff", "valid_from", "valid_to", "is_current")
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_fold_equals_rebuild(spark, seed):
     rows = spark.createDataFrame(history(seed), SCHEMA)
     rebuilt = versions.rebuild_versions(rows, "name", order=["position"])
 
     live = rebuilt.limit(0)
     ended = rebuilt.limit(0)
-    for load in range(1, 7):
+    for load in range(1, LOADS + 1):
         batch = rows.where(F.col("loaded_at") == F.lit(day(load)))
         incoming = latest.latest_by_key(batch, ["name"], ["position"])
         change = versions.apply_versions(live, incoming, "name", day(load))
