@@ -87,3 +87,10 @@ def sigmoid(x):
 
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
+
+def as_batch(rows: list[tuple], schema):
+    """An Arrow record batch of Python tuples."""
+    import pyarrow as pa
+
+    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)]
+    return pa.RecordBatch.from_arrays(columns, schema=schema)

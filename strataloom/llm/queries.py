@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import langid, quality, simhash, toxicity
+from . import langid, packing, quality, simhash, tokenstore, toxicity
 from .common import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,8 +40,19 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces(packing.pack(table(spark, sf_dir, "documents")))
+
+
 @query
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     )
+
+
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = tokenstore.round_trip(table(spark, sf_dir, "documents"))
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
