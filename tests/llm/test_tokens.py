@@ -39,6 +39,7 @@ def test_slices_and_full_cache(encoder, monkeypatch):
     for limit in (1 << 17, 3):
         monkeypatch.setattr(tokens, "SLICE", 37)
         monkeypatch.setattr(tokens, "CACHED", limit)
+        encoder.known.clear()
         assert ids_of(encoder.encode(text)) == want
 
 
