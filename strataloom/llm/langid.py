@@ -228,3 +228,17 @@ def identify_documents(docs: DataFrame, settings: Settings = Settings()) -> Data
         F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
         name("text").alias("named"),
     ).select("doc_id", "held_out", "named.lang_pred", "named.score")
+
+
+def in_known_language(docs: DataFrame, least: float = 0.5, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs`` whose text is in a learned language, all columns.
+
+    Rejected are texts that are NULL or without a letter, and those of which no language
+    has a posterior of ``least``.  With no language to learn, every text with a letter
+    stays.
+    """
+    trees = learn(docs, settings)
+    if not trees.languages:
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    name = namer(docs.sparkSession, trees)
+    return docs.where(name("text")["score"] >= least)

@@ -309,3 +309,15 @@ def near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The row with the smallest doc_id of each component, all columns of ``docs``.
+
+    A repeated row is one document and stays once.  Rows without doc_id can be told
+    neither from copies nor from each other and all stay.
+    """
+    found = near_copies(docs, settings).where("doc_id = component_id")
+    kept = stored(found.select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
+    first = docs.join(kept, docs.doc_id == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    return first.unionByName(docs.where("doc_id IS NULL"))
