@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 
 def parse_iso(text: Column) -> Column:
-    """ISO text (``Z`` or an offset allowed) to a timestamp; bad text is NULL."""
-    return text.try_cast("timestamp")
+    """ISO text (``Z`` or an offset allowed) to a timestamp; bad text is NULL.
+
+    Text without a full date is bad: a clock time alone would mean the day of the run.
+    """
+    dated = text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ]|$)")
+    return F.when(dated, text.try_cast("timestamp"))
 
 
 def iso_text(moment: Column) -> Column:

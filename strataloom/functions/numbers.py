@@ -11,8 +11,14 @@ def nan_to_null(value: Column) -> Column:
 
 
 def safe_int(value: Column) -> Column:
-    """NULL and NaN become 0; anything else is cut to a whole number."""
-    return F.coalesce(nan_to_null(value.cast("double")).cast("long"), F.lit(0).cast("long"))
+    """NULL and NaN become 0; anything else is cut to a whole number.
+
+    The number itself is cast, so whole numbers beyond 2 ** 53 keep all digits.
+    """
+    zero = F.lit(0).cast("long")
+    return F.when(F.isnan(value.cast("double")), zero).otherwise(
+        F.coalesce(value.cast("long"), zero)
+    )
 
 
 def round_half_up(value: Column, digits: int, precision: int = 24) -> Column:

@@ -130,29 +130,28 @@ def as_of_join(
     dimension: DataFrame,
     key: str,
     moment: str,
-    first: dt.datetime,
-    last: dt.datetime,
     unit: str = "month",
 ) -> DataFrame:
     """Each fact with the version of its key valid at its time.
 
     Versions are laid out over the calendar units they span, so the join is an
     equality on key and unit: a hot key is spread over its units and a fact meets
-    only the versions of its own unit.  ``first`` and ``last`` bound the facts'
-    times and thereby the layout.
+    only the versions of its own unit.  The first and the last time of the facts,
+    one aggregate, bound the layout; a fact without time has no version.
     """
+    ends = facts.agg(F.min(moment).alias("first"), F.max(moment).alias("last"))
 
     def unit_of(column: Column) -> Column:
         return F.date_trunc(unit, column)
 
-    low = unit_of(F.greatest(F.col("valid_from"), F.lit(first)))
-    high = unit_of(F.least(F.col("valid_to"), F.lit(last)))
+    first = ends.select("first").scalar()
+    last = ends.select("last").scalar()
+    low = unit_of(F.greatest(F.col("valid_from"), first))
+    high = unit_of(F.least(F.col("valid_to"), last))
     laid_out = (
-        dimension.where((F.col("valid_from") <= F.lit(last)) & (F.col("valid_to") > F.lit(first)))
+        dimension.where((F.col("valid_from") <= last) & (F.col("valid_to") > first))
         .withColumn("_unit", F.explode(F.sequence(low, high, F.expr(f"interval 1 {unit}"))))
     )
-    timed = facts.where(F.col(moment).between(F.lit(first), F.lit(last))).withColumn(
-        "_unit", unit_of(F.col(moment))
-    )
+    timed = facts.withColumn("_unit", unit_of(F.col(moment)))
     inside = (F.col(moment) >= F.col("valid_from")) & (F.col(moment) < F.col("valid_to"))
     return timed.join(laid_out, [key, "_unit"]).where(inside).drop("_unit")

@@ -117,14 +117,17 @@ def submitter_flatten(g: Given) -> DataFrame:
 
 @query("""
     SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS moment, NULL::VARCHAR AS bad,
+      NULL::VARCHAR AS undated,
       strftime(ts - INTERVAL 2 HOUR, '%Y-%m-%d %H:%M:%S') AS shifted FROM events""")
 def parse_iso_datetime(g: Given) -> DataFrame:
     """``Z`` and offset forms are instants; other text is NULL."""
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    undated = F.array(F.date_format("ts", "HH:mm:ss"), F.date_format("ts", "'T'HH"), F.date_format("ts", "yyyy"))
     return g.table("events").select(
         "event_id",
         stamp(parse_iso(F.concat(iso, F.lit(".000Z")))).alias("moment"),
         parse_iso(F.concat(F.lit("on "), iso)).cast("string").alias("bad"),
+        parse_iso(F.get(undated, (F.col("event_id") % 3).cast("int"))).cast("string").alias("undated"),
         stamp(parse_iso(F.concat(iso, F.lit("+02:00")))).alias("shifted"),
     )
 
@@ -148,12 +151,16 @@ def strip_to_null(g: Given) -> DataFrame:
 
 @query("""
     SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 WHEN event_id % 3 = 1 THEN 0
-      ELSE CAST(trunc(value) AS BIGINT) END AS whole FROM events""")
+      ELSE CAST(trunc(value) AS BIGINT) END AS whole,
+      9007199254740993 + event_id AS long_number FROM events""")
 def safe_int(g: Given) -> DataFrame:
     """NULL and NaN, put in by turns, become 0."""
     third = F.col("event_id") % 3
     value = F.when(third == 1, F.lit(float("nan"))).when(third == 2, F.col("value"))
-    return g.table("events").select("event_id", numbers.safe_int(value).alias("whole"))
+    return g.table("events").select(
+        "event_id", numbers.safe_int(value).alias("whole"),
+        numbers.safe_int(F.col("event_id") + 9007199254740993).alias("long_number"),
+    )
 
 
 MODEL_HASH_SQL = """md5(concat_ws('|', id, coalesce(owner, 'None'), coalesce(library_name, 'None'),

@@ -311,7 +311,6 @@ def point_in_time_join(g: Given) -> DataFrame:
         "event_id", "ts", "concat('post-', user_id, '-', event_type) AS slug"
     )
     joined = versions.as_of_join(
-        facts, post_versions(g), "slug", "ts",
-        dt.datetime(2024, 1, 1, tzinfo=_UTC), dt.datetime(2024, 2, 1, tzinfo=_UTC), unit="day",
+        facts, post_versions(g), "slug", "ts", unit="day",
     )
     return joined.select("event_id", "slug", "content_raw", stamp("valid_from").alias("valid_from"))

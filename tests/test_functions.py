@@ -29,7 +29,11 @@ def test_strip_to_null(spark, raw, expected):
         ("2024-01-02T03:04:05.000Z", dt.datetime(2024, 1, 2, 3, 4, 5)),
         ("2024-01-02T03:04:05+02:00", dt.datetime(2024, 1, 2, 1, 4, 5)),
         ("2024-01-02T03:04:05", dt.datetime(2024, 1, 2, 3, 4, 5)),
+        ("2024-01-02", dt.datetime(2024, 1, 2)),
         ("soon", None),
+        ("12:30:00", None),
+        ("T12", None),
+        ("2024", None),
         (None, None),
     ],
 )
@@ -45,6 +49,10 @@ def test_safe_int(spark, raw, expected):
     assert one(spark, raw, "double", numbers.safe_int) == expected
 
 
+def test_safe_int_keeps_long_numbers(spark):
+    assert one(spark, 9007199254740993, "long", numbers.safe_int) == 9007199254740993
+
+
 def test_rounding_is_half_up(spark):
     assert str(one(spark, 0.0005, "double", lambda c: numbers.round_half_up(c, 3))) == "0.001"
     assert str(one(spark, -2.5, "double", lambda c: numbers.round_half_up(c, 0))) == "-3"

@@ -87,9 +87,7 @@ def test_as_of_join_against_brute_force(spark, unit):
         for i in range(300)
     ]
     df = spark.createDataFrame(facts, "fact long, name string, ts timestamp")
-    got = versions.as_of_join(
-        df, built, "name", "ts", dt.datetime(2023, 12, 1, tzinfo=UTC), day(31), unit
-    )
+    got = versions.as_of_join(df, built, "name", "ts", unit)
     spans = built.select("name", "id", "valid_from", "valid_to").collect()
     expected = sorted(
         (f.fact, v.id)
