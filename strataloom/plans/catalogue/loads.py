@@ -70,23 +70,24 @@ def scd2_versions(g: Given) -> DataFrame:
 
 
 def _applied(
-    g: Given, rows: DataFrame, key: str, order: tuple[str, ...], cut: dt.datetime, load: dt.datetime
+    g: Given, rows: DataFrame, key: str, order: tuple[str, ...], cut: dt.datetime
 ) -> DataFrame:
-    """Live and ended versions after one load onto the history before ``cut``."""
+    """Live and ended versions after one load of all rows since ``cut`` onto the history
+    before; the load is dated by its newest row."""
+    newest = rows.select(F.date_format(F.max("loaded_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+    load = dt.datetime.fromisoformat(newest).replace(tzinfo=_UTC) if newest else cut
     before = rows.where(F.col("loaded_at") < F.lit(cut))
     live = g.stored(
         versions.rebuild_versions(before, key, order=order).where("is_current"), "live-versions"
     )
-    after = rows.where(F.col("loaded_at").between(F.lit(cut), F.lit(load)))
+    after = rows.where(F.col("loaded_at") >= F.lit(cut))
     incoming = latest.latest_by_key(after, [key], ["loaded_at", *order])
     change = versions.apply_versions(live, incoming, key, load)
     return change.current.unionByName(change.closed)
 
 
-def _applied_sql(
-    rows: str, key: str, attribute: str, order: str, cut: dt.datetime, load: dt.datetime
-) -> str:
-    at = f"TIMESTAMP '{_text(load)}'"
+def _applied_sql(rows: str, key: str, attribute: str) -> str:
+    at = f"(SELECT max(loaded_at) FROM {rows})"
     return f"""
         SELECT {key}, {attribute}, hashdiff, is_current, {stamp_sql('valid_from')} AS valid_from,
           {stamp_sql('valid_to')} AS valid_to
@@ -102,33 +103,32 @@ def _applied_sql(
           WHERE l.hashdiff IS DISTINCT FROM i.hashdiff)"""
 
 
-def _incoming_sql(rows: str, key: str, order: str, cut: dt.datetime, load: dt.datetime) -> dict:
+def _incoming_sql(rows: str, key: str, order: str, cut: dt.datetime) -> dict:
     return {"incoming": f"""
         SELECT * FROM {rows} WHERE loaded_at >= TIMESTAMP '{_text(cut)}'
-          AND loaded_at <= TIMESTAMP '{_text(load)}'
         QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY loaded_at DESC, {order}) = 1"""}
 
 
 @query(
-    _applied_sql("model_rows", "name", "license", MODEL_ORDER_SQL, MODEL_CUT, MODEL_LOAD),
+    _applied_sql("model_rows", "name", "license"),
     {
         **MODEL_ROWS,
         **versions_sql("model_rows", "name", "license", MODEL_ORDER_SQL, _text(MODEL_CUT)),
-        **_incoming_sql("model_rows", "name", MODEL_ORDER_SQL, MODEL_CUT, MODEL_LOAD),
+        **_incoming_sql("model_rows", "name", MODEL_ORDER_SQL, MODEL_CUT),
     },
 )
 def scd2_models(g: Given) -> DataFrame:
     rows = model_rows(g)
-    applied = _applied(g, rows, "name", MODEL_ORDER[1:], MODEL_CUT, MODEL_LOAD)
+    applied = _applied(g, rows, "name", MODEL_ORDER[1:], MODEL_CUT)
     return _shown(applied, "name", "license", "hashdiff")
 
 
 @query(
-    _applied_sql("post_rows", "slug", "content_raw", "position DESC", POST_CUT, POST_LOAD),
+    _applied_sql("post_rows", "slug", "content_raw"),
     {
         **POST_ROWS,
         **versions_sql("post_rows", "slug", "content_raw", "position DESC", _text(POST_CUT)),
-        **_incoming_sql("post_rows", "slug", "position DESC", POST_CUT, POST_LOAD),
+        **_incoming_sql("post_rows", "slug", "position DESC", POST_CUT),
     },
 )
 def scd2_posts(g: Given) -> DataFrame:
@@ -136,7 +136,7 @@ def scd2_posts(g: Given) -> DataFrame:
         "slug", "content_raw", "hashdiff", "loaded_at", "position"
     )
     return _shown(
-        _applied(g, rows, "slug", ("position",), POST_CUT, POST_LOAD), "slug", "content_raw", "hashdiff"
+        _applied(g, rows, "slug", ("position",), POST_CUT), "slug", "content_raw", "hashdiff"
     )
 
 
