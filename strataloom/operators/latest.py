@@ -42,11 +42,12 @@ def touched_partitions(
 ) -> DataFrame:
     """New content of just those partitions that the batch writes to.
 
-    Written with dynamic partition overwrite, so the cost follows the batch.
+    Written with dynamic partition overwrite, so the cost follows the batch.  The
+    values the batch touches are read first, one per partition, and passed to the
+    scan as constants: partitions without news are not read.
     """
-    days = incoming.select(partition).distinct()
-    return upsert_latest(base.join(days, partition, "left_semi").select(*base.columns),
-                         incoming, key, order)
+    values = [r[0] for r in incoming.select(partition).distinct().collect()]
+    return upsert_latest(base.where(F.col(partition).isin(values)), incoming, key, order)
 
 
 def hourly_latest(

@@ -14,12 +14,13 @@ SAMPLE_SIZE = 10
 
 
 def compare_names(
-    raw: Mapping[str, DataFrame], dictionaries: Mapping[str, DataFrame]
+    raw: DataFrame | Mapping[str, DataFrame], dictionaries: Mapping[str, DataFrame]
 ) -> DataFrame:
     """Every name of either side: mentions in the raw layer, presence in the dictionary.
 
     Names are counted before they are compared, so a very common name is one row
-    by the time of the join.  ``coverage`` reads the result twice; store it when
+    by the time of the join.  ``raw`` is one frame per dictionary, or a single one of
+    (dictionary, name).  ``coverage`` reads the result twice; store it when
     the raw layer is large.
     """
     mentioned = _labelled(raw).groupBy("dictionary", "name").agg(F.count(F.lit(1)).alias("n"))
@@ -54,7 +55,9 @@ def first_values(
     )
 
 
-def _labelled(frames: Mapping[str, DataFrame]) -> DataFrame:
+def _labelled(frames: DataFrame | Mapping[str, DataFrame]) -> DataFrame:
+    if isinstance(frames, DataFrame):
+        return frames.select("dictionary", "name").where("name IS NOT NULL")
     parts = [
         df.select(F.lit(label).alias("dictionary"), "name").where("name IS NOT NULL")
         for label, df in frames.items()

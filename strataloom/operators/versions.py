@@ -23,14 +23,15 @@ class VersionChange:
     """What one batch does to a dimension.
 
     ``current`` is the new live part, ``closed`` the versions it ended; the
-    history before the batch is not read.  ``inserted`` and ``unchanged`` are
-    the parts of ``current`` the batch spoke about.
+    history before the batch is not read.  ``spoken`` is the part of ``current``
+    the batch spoke about, ``inserted`` and ``unchanged`` together.
     """
 
     current: DataFrame
     closed: DataFrame
     inserted: DataFrame
     unchanged: DataFrame
+    spoken: DataFrame
 
 
 def open_end(start: Column, days: int = OPEN_DAYS) -> Column:
@@ -81,41 +82,49 @@ def apply_versions(
 
     Same hash: the version stays, with its id and owner.  Other hash: it ends at
     ``loaded_at`` and a new one starts.  New key: inserted.  Absent key: stays.
-    The live side is only joined with the keys and hashes of the batch, so a
-    batch small enough to broadcast leaves a dimension of any size in place.
+    Both sides meet in one full outer join on the key, unique on either side, and
+    each part of the change is a filter on it.
     """
     start = F.lit(loaded_at)
     attributes = {c for c in current.columns if c not in VERSION_COLUMNS}
     if not attributes <= set(incoming.columns):
         raise ValueError(f"the batch lacks {sorted(attributes - set(incoming.columns))}")
-    seen = incoming.select(key, F.col(change).alias("_new_hash"))
-    compared = current.join(seen, key, "left")
-    known = F.col("_new_hash").isNotNull()
-    stays = ~known | (F.col("_new_hash") == F.col(change))
-
-    closed = (
-        compared.where(~stays)
-        .withColumn("valid_to", start)
-        .withColumn("is_current", F.lit(False))
-        .select(*current.columns)
-    )
-    old_hash = current.join(seen.select(key), key, "left_semi").select(
-        key, F.col(change).alias("_old_hash")
-    )
-    inserted = (
-        incoming.join(old_hash, key, "left")
-        .where(~F.col("_old_hash").eqNullSafe(F.col(change)))
-        .withColumn("id", version_key(F.col(key), start))
-        .withColumn("valid_from", start)
-        .withColumn("valid_to", open_end(start, open_days))
-        .withColumn("is_current", F.lit(True))
-        .select(*current.columns)
+    begun = {
+        "id": version_key(F.col(key), start),
+        "valid_from": start,
+        "valid_to": open_end(start, open_days),
+        "is_current": F.lit(True),
+    }
+    old = current.select(*[F.col(c).alias(f"_old_{c}") for c in current.columns], F.lit(True).alias("_had"))
+    new = incoming.select(
+        *[
+            begun.get(f.name, F.col(f.name)).cast(f.dataType).alias(f"_new_{f.name}")
+            for f in current.schema
+        ],
+        F.lit(True).alias("_sent"),
     )
+    both = old.join(new, F.col(f"_old_{key}") == F.col(f"_new_{key}"), "full_outer")
+    had, sent = F.col("_had").isNotNull(), F.col("_sent").isNotNull()
+    same = had & sent & F.col(f"_old_{change}").eqNullSafe(F.col(f"_new_{change}"))
+
+    def taken(rows: DataFrame, side: str) -> DataFrame:
+        return rows.select(*[F.col(f"_{side}_{c}").alias(c) for c in current.columns])
+
+    def either(rows: DataFrame, is_old: Column) -> DataFrame:
+        return rows.select(
+            *[
+                F.when(is_old, F.col(f"_old_{c}")).otherwise(F.col(f"_new_{c}")).alias(c)
+                for c in current.columns
+            ]
+        )
+
+    closed = taken(both.where(had & sent & ~same), "old")
     return VersionChange(
-        current=compared.where(stays).select(*current.columns).unionByName(inserted),
-        closed=closed,
-        inserted=inserted,
-        unchanged=compared.where(stays & known).select(*current.columns),
+        current=either(both, same | ~sent),
+        closed=closed.withColumns({"valid_to": start, "is_current": F.lit(False)}),
+        inserted=taken(both.where(sent & ~same), "new"),
+        unchanged=taken(both.where(same), "old"),
+        spoken=either(both.where(sent), same),
     )
 
 

@@ -244,10 +244,11 @@ def modification_stats(g: Given) -> DataFrame:
 
 
 @query("""
-    SELECT d.license AS license, count(*) AS cnt FROM ods_models f
-      JOIN (SELECT DISTINCT license FROM ods_models WHERE license <> '') d ON f.license = d.license
+    SELECT d.modification AS modification, count(*) AS cnt FROM ods_models f
+      JOIN (SELECT DISTINCT modification FROM ods_models WHERE modification <> '') d
+        ON f.modification = d.modification
     GROUP BY 1 ORDER BY cnt DESC, 1 LIMIT 10""")
 def join_modification_stats(g: Given) -> DataFrame:
     """Facts against the distinct dimension of a tag attribute, counted, ten greatest."""
     models = g.models
-    return joined_stats(models, dimensions.distinct_dimension(models, "license"), "license")
+    return joined_stats(models, dimensions.distinct_dimension(models, "modification"))

@@ -23,16 +23,20 @@ from .joins import no_rows
 from .version_sql import versions_sql
 
 _UTC = dt.timezone.utc
-# Three loads of the post feed, each with what came since the one before.
-_LOADS = tuple(dt.datetime(2024, 1, day, tzinfo=_UTC) for day in (11, 21, 31))
+# The post feed lands in this many loads of equal time spans.
+_LOADS = 3
 
 _STREAM_ROWS = {
+    "stream_span": f"""
+        SELECT min(CAST(epoch(loaded_at) AS BIGINT)) AS low,
+          (max(CAST(epoch(loaded_at) AS BIGINT)) - min(CAST(epoch(loaded_at) AS BIGINT)))
+            // {_LOADS} + 1 AS width FROM ods_posts""",
     "stream_rows": f"""
         SELECT *, {POST_HASH_SQL} AS hashdiff FROM (
-          SELECT * REPLACE (nullif(trim(author), '') AS author,
-            CASE WHEN loaded_at < TIMESTAMP '2024-01-11' THEN TIMESTAMP '2024-01-11'
-              WHEN loaded_at < TIMESTAMP '2024-01-21' THEN TIMESTAMP '2024-01-21'
-              ELSE TIMESTAMP '2024-01-31' END AS loaded_at) FROM ods_posts)
+          SELECT p.* REPLACE (nullif(trim(author), '') AS author,
+            TIMESTAMP '1970-01-01' + to_seconds(low + width * (1 + coalesce(
+              (CAST(epoch(loaded_at) AS BIGINT) - low) // width, {_LOADS - 1}))) AS loaded_at)
+          FROM ods_posts p, stream_span)
         WHERE author IS NOT NULL AND published_at >= TIMESTAMP '2000-01-01'""",
 }
 
@@ -44,14 +48,18 @@ _STREAM_ROWS = {
     {**_STREAM_ROWS, **versions_sql("stream_rows", "slug", "content_raw", "position DESC")},
 )
 def stream_ods_to_dds(g: Given) -> DataFrame:
-    """Three landed loads of posts, streamed into a fresh warehouse."""
+    """The post feed in landed loads of equal time spans, streamed into a fresh warehouse."""
     landing = fresh_dir(g.spark, "landing")
-    start = dt.datetime(2023, 12, 1, tzinfo=_UTC)
-    for moment in _LOADS:
-        since = (F.col("loaded_at") >= F.lit(start)) & (F.col("loaded_at") < F.lit(moment))
-        part = g.post_feed.where(since).drop("loaded_at")
+    at = F.unix_seconds("loaded_at")
+    feed = g.post_feed
+    low, high = feed.agg(F.min(at), F.max(at)).first()
+    low, high = low or 0, high or 0
+    width = (high - low) // _LOADS + 1
+    place = F.coalesce(F.floor((at - low) / width), F.lit(_LOADS - 1))
+    for load in range(_LOADS):
+        moment = dt.datetime.fromtimestamp(low + width * (load + 1), _UTC)
+        part = feed.where(place == load).drop("loaded_at")
         write_staged_json(part, landing, "posts", "raw", incremental.folder_time(moment))
-        start = moment
     home = Warehouse(g.spark, fresh_dir(g.spark, "warehouse"), f"trial_{uuid.uuid4().hex[:8]}_")
     home.init_tables(["dds"])
     static = flows.StaticDimensions.generate(g.spark)
@@ -69,7 +77,9 @@ def stream_ods_to_dds(g: Given) -> DataFrame:
     )
     incremental.apply_loads(stream, apply, fresh_dir(g.spark, "progress")).awaitTermination()
     home.refresh("dds.dim_posts")
-    return home.frame("dds.dim_posts").select(
+    built = g.stored(home.frame("dds.dim_posts"), "dim-posts")
+    home.drop(["dds"])
+    return built.select(
         "id", "slug", "hashdiff", "is_current", stamp("valid_from").alias("valid_from"),
         stamp("valid_to").alias("valid_to"),
     )
@@ -109,10 +119,13 @@ def hourly_rollup_latest(g: Given) -> DataFrame:
 def hourly_rollup_stream(g: Given) -> DataFrame:
     """The same over the events read as a stream."""
     events = g.table("events")
-    stream = g.spark.readStream.schema(events.schema).parquet(f"{g.sf_dir}/events*.parquet")
-    rolled = incremental.hourly_latest_stream(stream, ["user_id"], "ts", ["event_id"])
-    path = fresh_dir(g.spark, "rollup")
-    incremental.upsert_sink(rolled, path, fresh_dir(g.spark, "progress")).awaitTermination()
-    stored = g.spark.read.parquet(path)
-    final = latest.latest_by_key(stored, ["user_id", "hour"], ["micro_batch", "ts", "event_id"])
+    stream = (
+        g.spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
+        .parquet(g.sf_dir)
+    )
+    path, key, order = fresh_dir(g.spark, "rollup"), ["user_id"], ["event_id"]
+    incremental.hourly_upserts(
+        stream, key, "ts", order, path, fresh_dir(g.spark, "progress")
+    ).awaitTermination()
+    final = incremental.read_hourly(g.spark, path, key, "ts", order)
     return final.select("user_id", stamp("hour").alias("hour"), "event_id", "event_type", "value")

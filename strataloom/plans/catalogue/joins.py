@@ -145,9 +145,10 @@ def lookup_task(g: Given) -> DataFrame:
 
 
 def _name_lookup(g: Given, df: DataFrame, array: str, known: DataFrame) -> DataFrame:
+    """Names are counted first, so a very common one is a single row of the join."""
     dictionary = dimensions.with_name_key(known.distinct())
-    found = lookups.with_name_id(unnest(df, array, "name"), dictionary, "name", "id")
-    return found.groupBy("name", "id").agg(_n())
+    counted = unnest(df, array, "name").groupBy("name").agg(_n())
+    return lookups.with_name_id(counted, dictionary, "name", "id").select("name", "id", "n")
 
 
 @query("""

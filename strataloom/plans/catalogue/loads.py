@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.keys import version_key
+from ...functions.moments import date_id
 from ...operators import dimensions, latest, parties, versions
 from ...operators.lookups import with_calendar
 from .. import flows
@@ -248,14 +249,14 @@ def upsert_post_metrics(g: Given) -> DataFrame:
 def post_load(g: Given) -> flows.Load:
     """The whole post feed as one load onto an empty detail layer."""
     return flows.posts_load(
-        g.raw_posts, no_rows(g, "dds.parties"), no_rows(g, "dds.dim_posts"),
+        g.posts, no_rows(g, "dds.parties"), no_rows(g, "dds.dim_posts"),
         flows.StaticDimensions.generate(g.spark), POST_LOAD, ["loaded_at", "position"],
     )
 
 
 def model_load(g: Given) -> flows.Load:
     return flows.models_load(
-        g.raw_models, no_rows(g, "dds.parties"), no_rows(g, "dds.dim_models"), g.known_users,
+        g.models, no_rows(g, "dds.parties"), no_rows(g, "dds.dim_models"), g.known_users,
         flows.StaticDimensions.generate(g.spark), MODEL_LOAD, MODEL_ORDER,
     )
 
@@ -267,9 +268,9 @@ def paper_load(g: Given, part: DataFrame, live: DataFrame, moment: dt.datetime)
 
 def paper_loads(g: Given) -> tuple[flows.Load, flows.Load]:
     """The two loads of the paper feed, one after the other."""
-    parts = [g.raw_papers.where(F.col("loaded_at") == F.lit(m)) for m in PAPER_LOADS]
+    parts = [g.papers.where(F.col("loaded_at") == F.lit(m)) for m in PAPER_LOADS]
     first = paper_load(g, parts[0], no_rows(g, "dds.parties"), PAPER_LOADS[0])
-    live = first.versions["dds.parties"].current
+    live = g.stored(first.versions["dds.parties"].current, "live-parties")
     return first, paper_load(g, parts[1], live, PAPER_LOADS[1])
 
 
@@ -305,10 +306,11 @@ def load_post_metrics(g: Given) -> DataFrame:
     _LAST_POSTS,
 )
 def insert_ignore_reactions(g: Given) -> DataFrame:
-    """Reactions of one load, sent a second time onto what the first one stored."""
-    rows = post_load(g).rows["dds.fact_posts_reactions"]
+    """Reactions of one load, sent onto a table that has a part of them already."""
+    rows = g.stored(post_load(g).rows["dds.fact_posts_reactions"], "reactions")
     key = ["post_id", "reaction_id", "user_id", "date_id", "time_id"]
-    return rows.unionByName(dimensions.insert_ignore(rows, rows, key))
+    there = rows.where("reaction_id < '8'")
+    return there.unionByName(dimensions.insert_ignore(there, rows, key))
 
 
 _LAST_MODELS = {
@@ -457,13 +459,28 @@ def insert_ignore_datasets(g: Given) -> DataFrame:
     return _merged_names(base, g.models.select(F.explode("dataset").alias("name")))
 
 
-@query("""
-    SELECT r.reaction AS reaction, md5(r.reaction) AS id
-    FROM (SELECT unnest(reactions) AS r FROM ods_posts) GROUP BY ALL""")
+@query(f"""
+    SELECT 'dim_reactions' AS table_name, md5(r.reaction) AS id
+    FROM (SELECT unnest(reactions) AS r FROM ods_posts) GROUP BY ALL
+    UNION SELECT 'dim_date', strftime(CAST(o_orderdate AS DATE) + {SHIFT_DAYS}, '%Y%m%d') FROM orders
+    UNION SELECT 'dim_date', strftime(d, '%Y%m%d')
+      FROM range(TIMESTAMP '2000-01-01', TIMESTAMP '2031-01-01', INTERVAL 1 DAY) t(d)""")
 def insert_ignore_static(g: Given) -> DataFrame:
-    """The fixed reactions again onto a table that has all reactions ever seen."""
-    seen = dimensions.with_name_key(
+    """Static dimensions onto tables that have all reactions ever seen, and the days with orders."""
+    reactions = dimensions.with_name_key(
         g.posts.select(F.explode("reactions.reaction").alias("reaction")).distinct(), "reaction"
     )
-    static = dimensions.dim_reactions(g.spark)
-    return seen.unionByName(dimensions.insert_ignore(seen, static, ["reaction"]))
+    days = g.table("orders").select(
+        date_id(F.date_add(F.to_date("o_orderdate"), SHIFT_DAYS)).alias("id")
+    ).distinct()
+    filled = {
+        "dim_reactions": reactions.unionByName(
+            dimensions.insert_ignore(reactions, dimensions.dim_reactions(g.spark), ["reaction"])
+        ),
+        "dim_date": days.unionByName(dimensions.insert_ignore(days, g.dates.select("id"), ["id"])),
+    }
+    shown = [
+        rows.select(F.lit(name).alias("table_name"), F.col("id").cast("string").alias("id"))
+        for name, rows in filled.items()
+    ]
+    return shown[0].unionByName(shown[1])

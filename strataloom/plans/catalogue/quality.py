@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ...functions.text import strip_to_null
 from ...operators import parties, quality
 from ...operators.flatten import unnest
 from ...schemas import Table
@@ -13,14 +14,26 @@ from ..registry import query
 from .joins import post_versions
 
 
-def raw_names(g: Given) -> dict[str, DataFrame]:
-    """Every mention of a dictionary name in the raw layer; each branch reads few columns."""
-    return {
-        "parties": parties.all_party_names(g.models, g.papers, g.posts),
-        "datasets": unnest(g.models, "dataset", "name"),
-        "authors": unnest(g.papers, "authors", "name"),
-        "keywords": unnest(g.papers, "ai_keywords", "name"),
-    }
+def raw_names(g: Given) -> DataFrame:
+    """Every mention of a dictionary name in the raw layer, one pass over each feed."""
+
+    def named(dictionary: str, names: Column) -> Column:
+        clean = strip_to_null if dictionary == "parties" else (lambda name: name)
+        return F.transform(
+            F.coalesce(names, F.array().cast("array<string>")),
+            lambda n: F.struct(F.lit(dictionary).alias("dictionary"), clean(n).alias("name")),
+        )
+
+    nobody = F.array().cast("array<string>")
+    users = F.flatten(F.transform("reactions", lambda r: F.coalesce(r["users"], nobody)))
+    feeds = (
+        (g.models, named("parties", F.array("owner")), named("datasets", F.col("dataset"))),
+        (g.papers, named("parties", F.array("submitted_by", "organization")),
+         named("authors", F.col("authors")), named("keywords", F.col("ai_keywords"))),
+        (g.posts, named("parties", F.array("author")), named("parties", users)),
+    )
+    parts = [feed.select(F.inline(F.concat(*names))) for feed, *names in feeds]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def dictionaries(g: Given) -> dict[str, DataFrame]:
@@ -73,7 +86,7 @@ def dq_coverage(g: Given) -> DataFrame:
     return _coverage(g, raw_names(g), dictionaries(g))
 
 
-def _coverage(g: Given, raw: dict[str, DataFrame], known: dict[str, DataFrame]) -> DataFrame:
+def _coverage(g: Given, raw: DataFrame | dict[str, DataFrame], known: dict[str, DataFrame]) -> DataFrame:
     return quality.coverage(g.stored(quality.compare_names(raw, known), "compared-names"))
 
 

@@ -222,6 +222,8 @@ def init_tables(g: Given) -> DataFrame:
     total = counts[0]
     for more in counts[1:]:
         total = total.unionByName(more)
+    total = g.stored(total, "counts")
+    home.drop(["dds"])
     return total
 
 

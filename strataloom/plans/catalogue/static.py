@@ -24,15 +24,18 @@ _DATE_PARTS = (
       CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name,
       CAST(day(d) AS INTEGER) AS day, dayname(d) AS day_name, CAST(isodow(d) AS INTEGER) AS week_day,
       isodow(d) >= 6 AS is_weekend, CAST(quarter(d) AS INTEGER) AS quarter,
-      CAST(weekofyear(d) AS INTEGER) AS iso_week, count(*) AS orders
-    FROM (SELECT CAST(o_orderdate AS DATE) + {SHIFT_DAYS} AS d FROM orders) GROUP BY ALL""")
+      CAST(weekofyear(d) AS INTEGER) AS iso_week, count(o_orderkey) AS orders
+    FROM (SELECT CAST(d AS DATE) AS d
+          FROM range(TIMESTAMP '2000-01-01', TIMESTAMP '2031-01-01', INTERVAL 1 DAY) t(d)) c
+      LEFT JOIN orders ON CAST(o_orderdate AS DATE) + {SHIFT_DAYS} = d GROUP BY d""")
 def gen_dim_date(g: Given) -> DataFrame:
-    """Orders per calendar day, with every attribute of the day."""
+    """Every calendar day with all its attributes and its orders, none included."""
     orders = g.table("orders").select(
         date_id(F.date_add(F.to_date("o_orderdate"), SHIFT_DAYS)).alias("id")
     )
     per_day = orders.groupBy("id").agg(F.count(F.lit(1)).alias("orders"))
-    return per_day.join(F.broadcast(g.dates), "id").select("id", *_DATE_PARTS, "orders")
+    counted = g.dates.join(per_day, "id", "left")
+    return counted.select("id", *_DATE_PARTS, F.coalesce("orders", F.lit(0)).alias("orders"))
 
 
 @query("""

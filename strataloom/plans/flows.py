@@ -1,8 +1,10 @@
 """From a load of the raw layer to changes of the detail layer.
 
-Each flow returns what a load does to every table, lazily; ``commit_*`` stores
-it.  Loads are reduced to one row per entity first, so every join below has
-unique keys on at least one side.
+Each flow returns what a load does to every table; ``commit`` stores it.  Loads are
+reduced to one row per entity first, so every join below has unique keys on at least
+one side.  These rows and the ids a load speaks about are written to the shared scratch
+folder, as large as the load, and everything else is derived from them: no feed is
+read twice, and a lost executor repeats a task and not the load.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from ..operators.lookups import reasons, split_rejects, with_calendar, with_code
 from ..operators.parties import one_per_name, owner_types, paper_parties, post_parties
 from ..operators.versions import VersionChange, apply_versions
 from ..schemas import table
+from ..session import stored
 from ..sources.tables import Warehouse
 
 MODEL_ATTRIBUTES = (
@@ -66,7 +69,7 @@ class Load:
 
     ``versions`` are versioned dimensions, ``rows`` candidates for insert-only
     tables and bridges, one per key, ``facts`` rows of fact tables, ``rejects`` what
-    was left out and why.  ``shared`` frames feed several of these.
+    was left out and why.
     """
 
     loaded_at: dt.datetime
@@ -74,13 +77,11 @@ class Load:
     rows: dict[str, DataFrame]
     facts: dict[str, DataFrame]
     rejects: DataFrame
-    shared: tuple[DataFrame, ...] = ()
 
 
 def entity_ids(change: VersionChange, key: str, out: str) -> DataFrame:
     """Version ids of the entities a load spoke about."""
-    spoken = change.inserted.unionByName(change.unchanged)
-    return spoken.select(key, F.col("id").alias(out))
+    return change.spoken.select(key, F.col("id").alias(out))
 
 
 def prepared_models(batch: DataFrame) -> DataFrame:
@@ -101,9 +102,10 @@ def models_load(
     strict: bool = False,
 ) -> Load:
     """``parties`` and ``models`` are the live versions before the load."""
-    rows = prepared_models(latest_by_key(batch, ["id"], order))
+    rows = stored(prepared_models(latest_by_key(batch, ["id"], order)), "load-rows")
     owners = one_per_name(owner_types(rows.select(F.col("owner").alias("name")), known_users))
     party_change = apply_versions(parties, owners, "name", loaded_at)
+    live = stored(party_change.spoken, "load-parties")
 
     # Every owner is a party by now, so a row's own columns decide on its fate.
     accepted, rejects = split_rejects(
@@ -112,11 +114,10 @@ def models_load(
     )
     incoming = with_party_id(
         accepted.select("name", "owner", *MODEL_ATTRIBUTES, "date_id", "time_id", "hashdiff"),
-        party_change.current, "owner", "owner_id", how="inner",
+        live, "owner", "owner_id", how="inner",
     ).drop("owner")
     change = apply_versions(models, incoming, "name", loaded_at)
-    ids = entity_ids(change, "name", "model_id")
-    known = rows.join(ids, "name")
+    known = stored(rows.join(entity_ids(change, "name", "model_id"), "name"), "load-models")
 
     metrics = with_calendar(
         known.select("model_id", "loaded_at", "downloads", "likes", "trending_score"),
@@ -146,7 +147,6 @@ def models_load(
         rows={"dds.dim_datasets": datasets, **pairs},
         facts={"dds.fact_models_metrics": metrics},
         rejects=rejects.select(F.lit("models").alias("entity"), F.col("name").alias("key"), "reason"),
-        shared=(rows, party_change.current, known),
     )
 
 
@@ -158,7 +158,7 @@ def papers_load(
     order: Sequence[str],
 ) -> Load:
     """Papers are inserted once; their bridges grow with every load."""
-    rows = latest_by_key(batch, ["id"], order).select(
+    rows = stored(latest_by_key(batch, ["id"], order).select(
         F.col("id").alias("source_id"), md5_key(F.col("id")).alias("id"),
         F.coalesce("title", F.lit("")).alias("title"),
         "summary", "upvotes", "comments", "ai_summary", "published_at", "submitted_at",
@@ -166,9 +166,9 @@ def papers_load(
         strip_to_null(F.col("organization")).alias("organization"),
         or_empty(F.col("authors")).alias("authors"),
         or_empty(F.col("ai_keywords")).alias("ai_keywords"),
-    )
+    ), "load-rows")
     party_change = apply_versions(parties, one_per_name(paper_parties(rows)), "name", loaded_at)
-    live = party_change.current
+    live = stored(party_change.spoken, "load-parties")
     # Every submitter is a party by now, so a row's own columns decide on its fate.
     keyed = with_calendar(rows, static.date, "published_at", "publish_")
     accepted, rejects = split_rejects(
@@ -200,7 +200,6 @@ def papers_load(
         facts={},
         rejects=rejects.select(
             F.lit("papers").alias("entity"), F.col("source_id").alias("key"), "reason"),
-        shared=(rows, party_change.current),
     )
 
 
@@ -219,9 +218,9 @@ def posts_load(
     order: Sequence[str],
 ) -> Load:
     """``parties`` and ``posts`` are the live versions before the load."""
-    rows = prepared_posts(latest_by_key(batch, ["slug"], order))
+    rows = stored(prepared_posts(latest_by_key(batch, ["slug"], order)), "load-rows")
     party_change = apply_versions(parties, one_per_name(post_parties(rows)), "name", loaded_at)
-    live = party_change.current
+    live = stored(party_change.spoken, "load-parties")
 
     dated = with_calendar(rows, static.date, "published_at", "publish_")
     accepted, rejects = split_rejects(
@@ -239,7 +238,7 @@ def posts_load(
         live, "author", "author_id", how="inner",
     ).drop("author")
     change = apply_versions(posts, incoming, "slug", loaded_at)
-    known = rows.join(entity_ids(change, "slug", "post_id"), "slug")
+    known = stored(rows.join(entity_ids(change, "slug", "post_id"), "slug"), "load-posts")
 
     at = F.lit(loaded_at)
     hour = [date_id(at).alias("date_id"), time_id(at).alias("time_id")]
@@ -265,7 +264,6 @@ def posts_load(
         rows={"dds.fact_posts_reactions": reacted},
         facts={"dds.fact_posts_metrics": metrics},
         rejects=rejects.select(F.lit("posts").alias("entity"), F.col("slug").alias("key"), "reason"),
-        shared=(rows, party_change.current, known),
     )
 
 
@@ -288,20 +286,14 @@ def commit(warehouse: Warehouse, load: Load, writers: int = 4) -> None:
         key = table(name).unique or table(name).key
         warehouse.append(new_rows(warehouse.frame(name), load.rows[name], key), name)
 
-    for frame in load.shared:
-        frame.persist()
-    try:
-        with ThreadPoolExecutor(writers) as pool:
-            jobs = [pool.submit(store_fact, name) for name in load.facts]
-            jobs += [pool.submit(store_rows, name) for name in load.rows]
-            for job in jobs:
-                job.result()
-        # The party versions are read by the other dimensions, so they go last.
-        for name in sorted(load.versions, key=lambda n: n == "dds.parties"):
-            warehouse.commit_versions(load.versions[name], name, load.loaded_at)
-    finally:
-        for frame in load.shared:
-            frame.unpersist()
+    with ThreadPoolExecutor(writers) as pool:
+        jobs = [pool.submit(store_fact, name) for name in load.facts]
+        jobs += [pool.submit(store_rows, name) for name in load.rows]
+        for job in jobs:
+            job.result()
+    # The party versions are read by the other dimensions, so they go last.
+    for name in sorted(load.versions, key=lambda n: n == "dds.parties"):
+        warehouse.commit_versions(load.versions[name], name, load.loaded_at)
 
 
 def store_static(warehouse: Warehouse, static: StaticDimensions) -> None:

@@ -18,7 +18,8 @@ from ..functions.tags import TagVocabulary
 from ..functions.vocabulary import LIBRARIES, REACTIONS, task_names
 from ..operators.dimensions import dim_date
 from ..operators.marts import DetailTables
-from ..session import fresh_dir, prepare, spread
+from ..session import prepare, spread
+from ..session import stored as stored_table
 
 # Ship dates are moved forward so that the whole history lies in the calendar.
 SHIFT_DAYS = 1826
@@ -38,6 +39,7 @@ def _quoted(items) -> str:
     return ", ".join("'" + i.replace("'", "''") + "'" for i in items)
 
 
+_KINDS = _quoted(("finetune", "quantized", "adapter", "merge", ""))
 _LIBS, _TASKS, _EMOJI = _quoted(LIBRARIES), _quoted(task_names()), _quoted(REACTIONS)
 
 
@@ -84,7 +86,9 @@ class Given:
                     cast(1 + l_partkey % {len(task_names())} AS int)), ' ', '-')),
                 concat('license:', lower(p_type)),
                 CASE WHEN l_partkey % 5 = 0 THEN 'license:mit' END,
-                CASE WHEN l_linestatus = 'O' THEN concat('base_model:finetune:base/', l_partkey % 40) END,
+                CASE WHEN l_linestatus = 'O' THEN concat('base_model:',
+                  element_at(array({_KINDS}), cast(1 + l_partkey % 5 AS int)),
+                  ':base/', l_partkey % 40) END,
                 concat('base_model:root/', l_partkey % 30),
                 'region:us',
                 CASE WHEN l_partkey % 2 = 0 THEN 'region:eu' END,
@@ -206,22 +210,7 @@ class Given:
         return project_posts(self.post_feed)
 
     def stored(self, df: DataFrame, label: str) -> DataFrame:
-        path = fresh_dir(self.spark, label)
-        df.write.parquet(path)
-        return self.spark.read.parquet(path)
-
-    @cached_property
-    def raw_models(self) -> DataFrame:
-        """The raw layer as stored, for plans that read it more than once."""
-        return self.stored(self.models, "raw-models")
-
-    @cached_property
-    def raw_papers(self) -> DataFrame:
-        return self.stored(self.papers, "raw-papers")
-
-    @cached_property
-    def raw_posts(self) -> DataFrame:
-        return self.stored(self.posts, "raw-posts")
+        return stored_table(df, label)
 
     # -- detail layer as the marts see it ----------------------------------
 
@@ -297,7 +286,8 @@ FEED_SQL = {
             lower(replace(([{_TASKS}])[1 + l_partkey % {len(task_names())}], ' ', '-')),
             'license:' || lower(p_type),
             CASE WHEN l_partkey % 5 = 0 THEN 'license:mit' END,
-            CASE WHEN l_linestatus = 'O' THEN 'base_model:finetune:base/' || (l_partkey % 40) END,
+            CASE WHEN l_linestatus = 'O' THEN 'base_model:' || ([{_KINDS}])[1 + l_partkey % 5]
+              || ':base/' || (l_partkey % 40) END,
             'base_model:root/' || (l_partkey % 30),
             'region:us',
             CASE WHEN l_partkey % 2 = 0 THEN 'region:eu' END,

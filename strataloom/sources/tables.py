@@ -194,6 +194,11 @@ class Warehouse:
             f"CREATE VIEW IF NOT EXISTS {self.prefix}{spec.name} AS {' UNION ALL '.join(sides)}"
         )
 
+    def drop(self, layers: Iterable[str]) -> None:
+        """Remove the databases of a warehouse made for one trial, with all their tables."""
+        for layer in layers:
+            self.spark.sql(f"DROP DATABASE IF EXISTS {self.prefix}{layer} CASCADE")
+
     def replace(self, df: DataFrame, name: str, loaded_at: str | dt.datetime) -> None:
         """Write a new state beside the old one, then point the catalogue at it.
 

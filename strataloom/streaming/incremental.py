@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.latest import hourly_latest, latest_by_key
 from ..sources.staging import CORRUPT
 
 # How a load's time is spelled in its folder name.
@@ -62,41 +63,36 @@ def apply_loads(
     )
 
 
-def hourly_latest_stream(
+def hourly_upserts(
     stream: DataFrame,
     key: Sequence[str],
     moment: str,
     order: Sequence[str],
-    lateness: str = "1 hour",
-) -> DataFrame:
-    """One row per key and hour, the last one, over an unbounded stream.
-
-    State holds one row per key and open hour; hours older than ``lateness``
-    behind the newest event are closed and dropped from it.
-    """
-    rest = [c for c in stream.columns if c not in (*key, moment)]
-    rank = F.struct(moment, *order)
-    return (
-        stream.withWatermark(moment, lateness)
-        .groupBy(*key, F.window(moment, "1 hour").alias("_w"))
-        .agg(F.max_by(F.struct(moment, *rest), rank).alias("_row"))
-        .select(*key, F.col("_w.start").alias("hour"), "_row.*")
-    )
-
-
-def upsert_sink(result: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write updated rows of each micro-batch to a folder of its own.
+    path: str,
+    checkpoint: str,
+) -> StreamingQuery:
+    """Write the last row per key and hour of each micro-batch to a folder of its own.
 
-    A repeated micro-batch rewrites its folder; ``read_upserts`` resolves them.
+    No state is held between micro-batches and no row is too late: a late one is
+    written like any other and ``read_hourly`` ranks it with what came before.  A
+    repeated micro-batch rewrites its folder.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/micro_batch={batch_id}")
+        rolled = hourly_latest(batch, key, moment, order)
+        rolled.write.mode("overwrite").parquet(f"{path}/micro_batch={batch_id}")
 
     return (
-        result.writeStream.outputMode("update")
-        .foreachBatch(run)
+        stream.writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_hourly(
+    spark: SparkSession, path: str, key: Sequence[str], moment: str, order: Sequence[str]
+) -> DataFrame:
+    """The last row per key and hour over all micro-batches."""
+    written = spark.read.parquet(path).drop("micro_batch")
+    return latest_by_key(written, [*key, "hour"], [moment, *order])

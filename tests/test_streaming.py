@@ -45,13 +45,15 @@ def test_hourly_rows_with_late_events(spark, tmp_path):
     def run(*events):
         spark.createDataFrame(list(events), schema).coalesce(1).write.mode("append").parquet(path)
         stream = spark.readStream.schema(schema).parquet(path)
-        rolled = incremental.hourly_latest_stream(stream, ["k"], "ts", ["n"], "2 hours")
-        incremental.upsert_sink(rolled, f"{tmp_path}/out", f"{tmp_path}/progress").awaitTermination()
+        incremental.hourly_upserts(
+            stream, ["k"], "ts", ["n"], f"{tmp_path}/out", f"{tmp_path}/progress"
+        ).awaitTermination()
 
     run(("a", at(1, 10), 1), ("a", at(1, 50), 2), ("b", at(1, 0), 3))
-    run(("a", at(1, 55), 4), ("a", at(2, 5), 5))
-    rows = spark.read.parquet(f"{tmp_path}/out").collect()
-    last = {}
-    for r in sorted(rows, key=lambda r: r.micro_batch):
-        last[(r.k, r.hour.hour)] = r.n
-    assert last == {("a", 1): 4, ("b", 1): 3, ("a", 2): 5}
+    run(("a", at(1, 55), 4), ("a", at(9, 5), 5))
+    run(("a", at(1, 20), 6), ("c", at(2, 30), 7))  # hours behind the newest event
+    rows = incremental.read_hourly(spark, f"{tmp_path}/out", ["k"], "ts", ["n"]).collect()
+    assert {(r.k, r.hour.hour): r.n for r in rows} == {
+        ("a", 1): 4, ("b", 1): 3, ("a", 9): 5, ("c", 2): 7
+    }
+    assert len(rows) == 4
