@@ -26,9 +26,12 @@ def round_half_up(value: Column, digits: int, precision: int = 24) -> Column:
     return value.cast(f"decimal({precision},{digits})")
 
 
-def exact(value: Column, digits: int = 6) -> Column:
-    """Double as a decimal, so that a sum does not depend on row order."""
-    return value.cast(f"decimal(28,{digits})")
+def exact(value: Column, digits: int = 12) -> Column:
+    """Double as a decimal, so that a sum does not depend on row order.
+
+    ``digits`` after the point are kept and 26 before it; smaller parts are rounded.
+    """
+    return value.cast(f"decimal(38,{digits})")
 
 
 def likes_ratio(likes: Column, downloads: Column) -> Column:

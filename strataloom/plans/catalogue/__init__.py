@@ -9,6 +9,7 @@ from . import (  # noqa: F401
     marts,
     nested,
     quality,
+    reloads,
     scans,
     static,
 )

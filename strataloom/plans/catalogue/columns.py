@@ -244,7 +244,7 @@ def likes_ratio(g: Given) -> DataFrame:
 def round_numeric(g: Given) -> DataFrame:
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     return g.table("lineitem").select(
-        "l_orderkey", "l_linenumber", as_double(numbers.round_half_up(numbers.exact(net), 3)).alias("net")
+        "l_orderkey", "l_linenumber", as_double(numbers.round_half_up(numbers.exact(net, 6), 3)).alias("net")
     )
 
 
