@@ -53,60 +53,52 @@ def twice_loaded(g: Given) -> Warehouse:
     return home
 
 
-def _kept(g: Given, home: Warehouse, result: DataFrame) -> DataFrame:
-    out = g.stored(result, "twice-loaded")
-    home.drop(["dds"])
-    return out
-
-
-@query(
-    """
-    SELECT model_id, downloads, likes::BIGINT AS likes, trending_score,
-      CAST(strftime(loaded_at, '%Y%m%d') AS INTEGER) AS date_id,
-      CAST(hour(loaded_at) AS INTEGER) AS time_id FROM keyed""",
-    _SENT,
-)
-def reload_model_metrics(g: Given) -> DataFrame:
-    """Facts after the second load; an unchanged model keeps the version of the first."""
-    home = twice_loaded(g)
-    return _kept(g, home, home.frame("dds.fact_models_metrics"))
+def _rules_sql(name: str) -> str:
+    """Every rule of a table; a sound load breaks none."""
+    spec = table(name)
+    rules = [("not_null", c) for c in spec.required] + [("length", c) for c in spec.max_length]
+    rules += [("key", ",".join(spec.key))] + [("unique", c) for c in spec.unique]
+    rules += [("reference", c) for c in spec.refs]
+    return " ".join(f"UNION ALL SELECT '{name}', '{rule}', '{column} 0'" for rule, column in rules)
 
 
 @query(
-    """
-    SELECT DISTINCT 'languages' AS bridge, model_id, md5(element) AS element_id
+    f"""
+    SELECT 'facts' AS content, model_id AS key, concat_ws(' ', downloads, likes,
+      strftime(loaded_at, '%Y%m%d'), hour(loaded_at)) AS detail FROM keyed
+    UNION ALL SELECT DISTINCT 'languages', model_id, md5(element)
     FROM (SELECT model_id, unnest(language) AS element FROM keyed)
     UNION ALL SELECT DISTINCT 'datasets', model_id, md5(element)
-    FROM (SELECT model_id, unnest(dataset) AS element FROM keyed)""",
+    FROM (SELECT model_id, unnest(dataset) AS element FROM keyed)
+    {' '.join(map(_rules_sql, _BUILT))}""",
     _SENT,
 )
-def reload_model_bridges(g: Given) -> DataFrame:
+def reload_models(g: Given) -> DataFrame:
+    """Facts and bridges after the second load, and the rules of all tables it has built.
+
+    An unchanged model keeps the version of the first load.  All is one query, as the
+    loads are its cost.
+    """
     home = twice_loaded(g)
-    sides = [
+    facts = home.frame("dds.fact_models_metrics").select(
+        F.lit("facts").alias("content"), F.col("model_id").alias("key"),
+        F.concat_ws(" ", "downloads", "likes", "date_id", "time_id").alias("detail"),
+    )
+    bridges = [
         home.frame(f"dds.bridge_models_{name}s").select(
-            F.lit(f"{name}s").alias("bridge"), "model_id", F.col(f"{name}_id").alias("element_id")
+            F.lit(f"{name}s").alias("content"), F.col("model_id").alias("key"),
+            F.col(f"{name}_id").alias("detail"),
         )
         for name in ("language", "dataset")
     ]
-    return _kept(g, home, sides[0].unionByName(sides[1]))
-
-
-def _rules_sql(name: str) -> str:
-    """Every rule of a table; a sound load breaks none."""
-    spec = table(name)
-    rules = [("not_null", c) for c in spec.required] + [("length", c) for c in spec.max_length]
-    rules += [("key", ",".join(spec.key))] + [("unique", c) for c in spec.unique]
-    rules += [("reference", c) for c in spec.refs]
-    return " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, '{rule}' AS rule, '{column}' AS column_name, 0::BIGINT AS violations"
-        for rule, column in rules
-    )
-
-
-@query(" UNION ALL ".join(map(_rules_sql, _BUILT)))
-def dq_detail_layer(g: Given) -> DataFrame:
-    """Key, unique, reference, not-null and length rules of the tables two loads have built."""
-    home = twice_loaded(g)
     targets = {n: home.frame(n) for n in TABLES if n.startswith("dds.")}
-    audits = [quality.audit(home.frame(n), table(n), targets) for n in _BUILT]
-    return _kept(g, home, reduce(DataFrame.unionByName, audits))
+    audits = [
+        quality.audit(home.frame(n), table(n), targets).select(
+            F.col("table_name").alias("content"), F.col("rule").alias("key"),
+            F.concat_ws(" ", "column_name", "violations").alias("detail"),
+        )
+        for n in _BUILT
+    ]
+    out = g.stored(reduce(DataFrame.unionByName, [facts, *bridges, *audits]), "twice-loaded")
+    home.drop(["dds"])
+    return out

@@ -41,3 +41,32 @@ def test_batch_filter_prunes_partitions(spark, tmp_path):
     stored = spark.read.schema("n long, loaded_at timestamp").parquet(str(tmp_path / "t"))
     text = plan(tables.batch_scan(stored, moment, ["n"]))
     assert "PartitionFilters: [isnotnull(loaded_at" in text
+
+
+def test_a_load_reads_each_side_twice_at_most(spark, tmp_path):
+    """Live and ended versions of one load: one join each, both sides read once for it."""
+    from strataloom.operators import versions
+
+    moment = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    rows = spark.range(20).selectExpr("concat('k', id) AS name", "'h' AS hashdiff")
+    rows.write.parquet(str(tmp_path / "new"))
+    incoming = spark.read.parquet(str(tmp_path / "new"))
+    built = versions.rebuild_versions(
+        rows.withColumn("loaded_at", F.lit(moment - dt.timedelta(days=1))), "name"
+    )
+    built.write.parquet(str(tmp_path / "live"))
+    live = spark.read.parquet(str(tmp_path / "live"))
+    change = versions.apply_versions(live, incoming, "name", moment)
+    text = plan(change.current.unionByName(change.closed))
+    assert text.count("FileScan") == 4
+    assert plan(change.spoken.select("name", "id")).count("FileScan") == 2
+
+
+def test_only_touched_days_are_read(spark, tmp_path):
+    days = spark.range(30).selectExpr("id AS v", "cast(20240101 + id AS int) AS day")
+    days.write.partitionBy("day").parquet(str(tmp_path / "facts"))
+    base = spark.read.parquet(str(tmp_path / "facts"))
+    batch = base.where("day = 20240107").withColumn("position", F.lit(1))
+    touched = latest.touched_partitions(base, batch, ["v"], ["position"], "day")
+    assert "PartitionFilters: [isnotnull(day" in plan(touched) and "20240107" in plan(touched)
+    assert touched.count() == 1
