@@ -48,9 +48,17 @@ def with_name_id(df: DataFrame, dictionary: DataFrame, column: str, out: str) ->
 def with_party_id(
     df: DataFrame, parties: DataFrame, name: str, out: str, how: str = "left"
 ) -> DataFrame:
-    """Add the id of the party version that is current."""
-    live = parties.where("is_current").select(F.col("name").alias(name), F.col("id").alias(out))
-    return df.join(live, name, how)
+    """Add the id of the party version that is current.
+
+    A left join keeps rows without name; they get keys of their own that no party has,
+    so they are dealt over all partitions.
+    """
+    live = parties.where("is_current").select(F.col("name").alias("_party"), F.col("id").alias(out))
+    at = F.col(name)
+    if how == "left":
+        nobody = F.concat(F.lit("\0"), F.xxhash64(*df.columns).cast("string"))
+        at = F.coalesce(at, nobody)
+    return df.withColumn("_at", at).join(live, F.col("_at") == F.col("_party"), how).drop("_at", "_party")
 
 
 def keep_known(df: DataFrame, known: DataFrame, column: str) -> DataFrame:

@@ -80,8 +80,10 @@ class Load:
 
 
 def entity_ids(change: VersionChange, key: str, out: str) -> DataFrame:
-    """Version ids of the entities a load spoke about."""
-    return change.spoken.select(key, F.col("id").alias(out))
+    """Version ids and starts of the entities a load spoke about."""
+    return change.spoken.select(
+        key, F.col("id").alias(out), F.col("valid_from").alias("version_from")
+    )
 
 
 def prepared_models(batch: DataFrame) -> DataFrame:
@@ -118,6 +120,8 @@ def models_load(
     ).drop("owner")
     change = apply_versions(models, incoming, "name", loaded_at)
     known = stored(rows.join(entity_ids(change, "name", "model_id"), "name"), "load-models")
+    # The change hash covers all lists, so only versions of this load have new pairs.
+    fresh = known.where(F.col("version_from") == F.lit(loaded_at))
 
     metrics = with_calendar(
         known.select("model_id", "loaded_at", "downloads", "likes", "trending_score"),
@@ -132,13 +136,13 @@ def models_load(
     by_slug = not strict
     pairs = {
         "dds.bridge_models_languages": bridges.code_bridge(
-            known, "model_id", "language", static.languages, "code", "language_id"),
+            fresh, "model_id", "language", static.languages, "code", "language_id"),
         "dds.bridge_models_libraries": bridges.code_bridge(
-            known, "model_id", "library", static.libraries, "name", "library_id", by_slug),
+            fresh, "model_id", "library", static.libraries, "name", "library_id", by_slug),
         "dds.bridge_models_tasks": bridges.code_bridge(
-            known, "model_id", "task", static.tasks, "name", "task_id", by_slug),
+            fresh, "model_id", "task", static.tasks, "name", "task_id", by_slug),
         "dds.bridge_models_datasets": bridges.name_bridge(
-            known, "model_id", "dataset", "dataset_id"),
+            fresh, "model_id", "dataset", "dataset_id"),
     }
     datasets = dimensions.with_name_key(distinct_elements(rows, "dataset"))
     return Load(
