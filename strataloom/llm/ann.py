@@ -180,7 +180,7 @@ def search(queries: DataFrame, vectors: DataFrame, k: int, settings: Settings =
 
     Both tables have vec_id and embedding; a row is never its own neighbour.  Vectors that
     are NULL, zero, not finite, without vec_id, or of another length than most take no
-    part.  A repeated vec_id is kept once.
+    part.  A repeated vec_id is kept once, with the first of its vectors in order.
     """
     spark = vectors.sparkSession
     keep = lambda df: df.select(F.col("vec_id").cast("long"), F.col("embedding").alias("vector")).where(usable(F.col("vector")) & F.col("vec_id").isNotNull())
@@ -188,9 +188,10 @@ def search(queries: DataFrame, vectors: DataFrame, k: int, settings: Settings =
     sizes = base.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
     if sizes is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    d, n = sizes
-    base = base.where(F.size("vector") == d)
-    ids = sampled(base, F.col("vec_id"), share_of(settings.sample, n)).toPandas()  # ``sample`` rows
+    d = sizes["d"]
+    one = lambda df: df.where(F.size("vector") == d).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    base = stored(one(base), "vectors")
+    ids = sampled(base, F.col("vec_id"), share_of(settings.sample, base.count())).toPandas()  # ``sample`` rows
     ids = ids.sort_values("vec_id")
     x = np.stack(ids.vector.to_numpy()).astype(np.float64) if len(ids) else np.zeros((0, d))
     router = fit_router(x, settings) if len(x) > 1 else fit_router(np.ones((1, d)), settings)
@@ -208,10 +209,9 @@ def search(queries: DataFrame, vectors: DataFrame, k: int, settings: Settings =
                 p = shared.value.probabilities(np.stack(b.vector.to_numpy()).astype(np.float64))
                 yield b.assign(part=routed(p, settings)).explode("part").astype({"part": np.int32})
 
-    schema = "vec_id long, vector array<float>, part int"
-    index = stored(base.mapInPandas(assign, schema), "index").dropDuplicates(["vec_id"])
-    asked = keep(queries).where(F.size("vector") == d).dropDuplicates(["vec_id"])
-    asked = stored(asked.mapInPandas(route, schema), "routed")
+    schema = f"vec_id long, vector {base.schema['vector'].dataType.simpleString()}, part int"
+    index = stored(base.mapInPandas(assign, schema), "index")
+    asked = stored(one(keep(queries)).mapInPandas(route, schema), "routed")
     # A row per partition: how many slices of vectors and blocks of queries it has.
     cells = lambda df, name: df.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / settings.cell).cast("int").alias(name))
     grid = stored(cells(index, "slices").join(cells(asked, "blocks"), "part"), "grid")

@@ -152,6 +152,14 @@ def test_few_or_no_vectors(spark):
     assert ann.search(none, none, 20).count() == 0
 
 
+def test_double_and_repeated_vectors(spark):
+    """Doubles are not rounded; of a repeated vec_id the first vector in order is taken."""
+    rows = [(0, [0.1, 0.2]), (1, [0.3, 0.1]), (1, [0.2, 0.9]), (1, [0.3, 0.1]), (2, [0.7, 0.1])]
+    df = frame(spark, rows, "vec_id long, embedding array<double>")
+    out = ann.search(df.where("vec_id % 20 = 0"), df, 20).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in out] == [(1, 0.1 * 0.2 + 0.2 * 0.9), (2, 0.1 * 0.7 + 0.2 * 0.1)]
+
+
 # -- preference pairs --------------------------------------------------------
 
 
