@@ -154,7 +154,8 @@ def write_files(docs: DataFrame, folder: str, settings: Settings = Settings(), v
     Returns the list of files ``(file_no, path, documents, tokens)``.  A file covers the
     doc_ids of one range partition.  Each attempt of a task writes a file of its own, and
     only those of finished tasks are listed.  Documents without doc_id come first; equal
-    doc_ids are ordered by text.
+    doc_ids are ordered by a hash of their text, which also cuts the ranges, so that a
+    doc_id of very many rows, or none, is dealt over several files.
     """
     end = np.array([settings.end_id], dtype="<u4").tobytes()
 
@@ -180,9 +181,10 @@ def write_files(docs: DataFrame, folder: str, settings: Settings = Settings(), v
         })
 
     ordered = (
-        docs.select(F.col("doc_id").cast("long"), "text")
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("within"))
+        .repartitionByRange("doc_id", "within")
+        .sortWithinPartitions("doc_id", "within", "text")
+        .select("doc_id", "text")
     )
     return stored(
         ordered.mapInArrow(run, "file_no int, path string, documents long, tokens long"),

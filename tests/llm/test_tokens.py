@@ -4,10 +4,12 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from helpers import clashing, corpus, frame
 from pyspark.sql import functions as F
 
 from strataloom.llm import packing, tokens, tokenstore
+from strataloom.session import fresh_dir
 
 
 @pytest.fixture(scope="module")
@@ -157,7 +159,7 @@ def test_empty_file():
 def test_round_trip(spark, encoder):
     rows = corpus()
     out = tokenstore.round_trip(clashing(frame(spark, rows))).orderBy("start").collect()
-    key = lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")
+    key = lambda r: (r[0] is not None, r[0] or 0, within(r[1]), r[1] is not None, r[1] or "")
     at = 0
     for r, want in zip(out, sorted(rows, key=key), strict=True):
         ids = plain(encoder, want[1]) + [2]
@@ -166,6 +168,27 @@ def test_round_trip(spark, encoder):
     assert tokenstore.round_trip(frame(spark, [])).count() == 0
 
 
+def within(text):
+    """How rows of one doc_id are ordered; Spark hashes NULL to the seed."""
+    return 42 if text is None else np.array(xxhash.xxh64_intdigest(text, 42), np.uint64).view(np.int64).item()
+
+
+def test_one_doc_id_over_several_files(spark):
+    """Rows of one doc_id, or none, do not all go to one task."""
+    rows = [(None if i % 2 else 7, f"text {i}", None, None, None) for i in range(400)]
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")  # so few rows would be merged into one task
+    try:
+        files = tokenstore.write_files(frame(spark, rows).repartition(8), fresh_dir(spark, "hot"))
+    finally:
+        spark.conf.set(merge, "true")
+    assert files.count() > 2
+    out = tokenstore.read_files(files).orderBy("start").collect()
+    assert [r.doc_id for r in out] == [None] * 200 + [7] * 200
+    ends = [r.start + r.n_tokens for r in out]
+    assert [r.start for r in out] == [0, *ends[:-1]]
+
+
 def test_crc_is_that_of_the_bytes(spark):
     got = spark.range(1).select(F.crc32(F.lit(bytearray(b"\1\2\3\4")))).first()[0]
     assert got == zlib.crc32(b"\1\2\3\4")
