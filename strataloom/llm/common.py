@@ -65,8 +65,10 @@ def labelled_sample(
     """Texts of about ``bound`` labelled documents outside the held-out fold.
 
     Returns ``(text, label)``, label 0 or 1.  Of several label rows of one document
-    the majority counts, ties as 1.  The sample is drawn from the labels, so at most
-    about ``bound`` ids of 12 bytes are broadcast and no text is shuffled.
+    the majority counts, ties as 1; of several rows of one document the first text in
+    order is taken, so a repeated row weighs no more than another.  The sample is drawn
+    from the labels: at most about ``bound`` ids of 12 bytes are broadcast, and only the
+    texts drawn are shuffled.
     """
     known = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
@@ -77,9 +79,8 @@ def labelled_sample(
     rows = known.count()
     ids = sampled(known, F.col("doc_id"), share_of(bound, rows))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return stored(
-        texts.join(F.broadcast(ids), "doc_id").select("text", "label"), "labelled"
-    )
+    drawn = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    return stored(drawn.select("text", "label"), "labelled")
 
 
 def sigmoid(x):

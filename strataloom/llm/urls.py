@@ -116,9 +116,10 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], settings: Settings = S
         features = features.join(F.broadcast(stats), s)
         names += [f"f_{s}_pages", f"f_{s}_blocked"]
     vector = VectorAssembler(inputCols=names, outputCol="features")
+    # A repeated row is drawn once, so the sample keeps its bound.
     known = sampled(
         features.where("said IS NOT NULL"), F.struct("page_id", "url"), share_of(settings.sample, n)
-    ).select(*names, blocked.alias("label"))
+    ).dropDuplicates(["page_id", "url"]).select(*names, blocked.alias("label"))
     known = stored(known.coalesce(8), "labelled-urls")
     if known.agg(F.countDistinct("label")).first()[0] < 2:
         return features.select("page_id", "host", "path", "rule", F.coalesce("said", F.lit(BLOCK if b > n / 2 else ALLOW)).alias("verdict"))

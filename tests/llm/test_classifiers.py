@@ -5,6 +5,7 @@ import pytest
 from helpers import clashing, corpus, crc, frame, prose
 
 from strataloom.llm import langid, quality, toxicity
+from strataloom.llm.common import labelled_sample
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -54,6 +55,16 @@ def test_classifier_without_labels_or_rows(spark, module):
     assert module.score_documents(frame(spark, []), frame(spark, labels, LABELS)).count() == 0
 
 
+def test_repeated_rows_keep_the_bound_of_the_sample(spark):
+    """A document that is most of the rows is one row of the sample."""
+    docs, labels = labelled(40)
+    hot = next(d for d in docs if d[0] is not None and crc(d[0]) % 5)
+    df, known = (frame(spark, docs + [hot] * 300), frame(spark, labels, LABELS))
+    drawn = labelled_sample(df, known, "toxic", 5, 1000)
+    ids = {r[0] for r in labels if r[0] is not None and r[2] is not None and crc(r[0]) % 5}
+    assert drawn.count() == len(ids)
+
+
 @pytest.mark.parametrize("module", [toxicity, quality])
 def test_held_out_labels_are_never_read(spark, module):
     docs, labels = labelled(150)
