@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, langid, packing, preference, quality, simhash, tokenstore, toxicity, urls
+from . import (
+    ann, decontaminate, langid, packing, preference, quality, repeats, simhash, tokenstore, toxicity, urls,
+)
 from .common import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +94,11 @@ URL_RULES = [
 @query
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+ORACLE_SQL["op13_substring_dedup"] = repeats.SQL
