@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    ann, decontaminate, langid, packing, preference, quality, repeats, simhash, tokenstore, toxicity, urls,
+    ann, decontaminate, langid, mending, packing, preference, quality, repeats, simhash, tokenstore, toxicity,
+    urls,
 )
 from .common import importable
 
@@ -96,6 +97,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mending.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
