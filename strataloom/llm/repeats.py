@@ -31,7 +31,7 @@ from .common import as_batch, stored
 KEY = ["doc_id", "tag"]
 SPOTS = "doc_id long, tag long, spots binary"
 NAMED = f"{SPOTS}, names binary"
-CHUNK = 16 << 20
+CHUNK = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -87,6 +87,13 @@ def extendable(words: Words, repeated: np.ndarray, settings: Settings) -> np.nda
     return np.flatnonzero(np.isin(least_halves(words, settings)[0], repeated))
 
 
+def rows_in(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch, one at a time, so that one text is held and not all."""
+    names = batch.schema.names
+    for values in zip(*batch.columns):
+        yield {n: v.as_py() for n, v in zip(names, values)}
+
+
 # -- packed arrays -------------------------------------------------------------
 
 
@@ -165,7 +172,7 @@ def asked(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = {}, 0
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_in(batch):
                 key = row["doc_id"], row["tag"]
                 if key in held:
                     continue
@@ -315,6 +322,12 @@ def kept_text(words: Words, gone: np.ndarray) -> bytes:
     return b" ".join([w for w, out in zip(words.parts, gone.tolist()) if not out])
 
 
+def whole(text: bytes) -> tuple[int, str]:
+    """Number of words, and the digest of all of them."""
+    parts = text.split()
+    return len(parts), sha256(b" ".join(parts)).hexdigest()
+
+
 def without_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` and ``kept`` per row of ``docs``.
 
@@ -336,20 +349,22 @@ def without_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
+            for row in rows_in(batch):
                 words = Words(released(row["text"]))
                 mask = covered(together(row["lists"]), length, len(words))
                 kept = kept_text(words, mask)
                 out.append((row["doc_id"], row["tag"], int(mask.sum()), sha256(kept).hexdigest(), kept.decode()))
+                if len(out) >= 500:
+                    yield as_batch(out, cut_schema)
+                    out = []
             if out:
                 yield as_batch(out, cut_schema)
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [Words(t.as_py()) for t in batch.column("text")]
+            found = [whole(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array([len(w) for w in words], pa.int64()),
-                 pa.array([sha256(w.joined).hexdigest() for w in words])],
+                [*batch.columns[:3], pa.array([n for n, _ in found], pa.int64()), pa.array([d for _, d in found], pa.string())],
                 ["doc_id", "tag", "copy_of", "n_words", "whole"],
             )
 
@@ -389,7 +404,7 @@ def longest_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
+            for row in rows_in(batch):
                 at, names = full_windows(row, settings)
                 out.append((row["doc_id"], row["tag"], at.astype("<u4").tobytes(), names.tobytes()))
             if out:
@@ -424,7 +439,7 @@ def _doubled(length: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
+            for row in rows_in(batch):
                 spots, names = _own_windows(row)
                 own = np.isin(spots, together(row["lists"]))
                 name_at = dict(zip(spots[own].tolist(), (n.tobytes() for n in names[own])))
