@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    ann, decontaminate, langid, mending, packing, preference, quality, repeats, simhash, tokenstore, toxicity,
-    urls,
+    alignment, ann, decontaminate, langid, mending, packing, preference, quality, repeats, simhash, tokenstore,
+    toxicity, urls,
 )
 from .common import importable
 
@@ -97,6 +97,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments(table(spark, sf_dir, "documents"), with_groups=False).drop("groups")
+
+
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mending.repair_damaged(table(spark, sf_dir, "conversations"))
