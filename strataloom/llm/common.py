@@ -44,6 +44,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def sampled(df: DataFrame, key: Column, share: Column | float) -> DataFrame:
     """Rows whose hashed key falls below ``share`` (0 to 1) of the hash range.
 

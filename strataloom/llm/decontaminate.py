@@ -8,8 +8,9 @@ sketch, however long it is, so the search misses nothing; documents with fewer s
 than the item needs are passed over by size.  Every candidate is then verified by counting
 the item's shingles in the document as exact strings.
 
-All of it is built-in functions.  The sketches are broadcast in blocks of a bounded size,
-and the texts are read once per block and never shuffled.
+All of it is built-in functions.  The sketches are broadcast in blocks of a bounded size.
+The search carries keys and hashes, no texts, so its cost is linear in a text's length;
+texts are read again for their candidates only.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import free_name, stored
 
 APART = r"[^\p{L}\p{N}]+"
 
@@ -88,32 +89,43 @@ def contained(docs: DataFrame, key: str, benchmark: DataFrame, settings: Setting
     table = stored(sketches(benchmark, settings), "sketches")
     size = table.agg(F.sum(F.aggregate("parts", F.lit(0), lambda a, x: a + F.length(x)))).first()[0] or 0
     blocks = max(1, -(-size // settings.broadcast))
-    words = docs.select(F.col(key).alias("doc_key"), words_of(F.col("text")).alias("words"))
+    texts = docs.select(F.col(key).alias("doc_key"), F.xxhash64("text").alias("tag"), "text")
     found = None
     for b in range(blocks):
         part = table.where(F.pmod(F.xxhash64("parts"), F.lit(blocks)) == b)
-        hits = _contained_in(words, part, settings)
+        hits = _contained_in(texts, part, settings)
         found = hits if found is None else found.unionAll(hits)
     return found.groupBy(F.col("doc_key").alias(key), "item_id", "item_shingles").agg(
         F.max("shared").alias("shared")
     )
 
 
-def _contained_in(words: DataFrame, part: DataFrame, settings: Settings) -> DataFrame:
-    hashed = words.select(
-        "doc_key", "words", F.explode(shingle_hashes(F.col("words"), settings.words)).alias("doc_hash")
-    )
-    room = F.greatest(F.size("words") - (settings.words - 1), F.lit(1))
+def _contained_in(texts: DataFrame, part: DataFrame, settings: Settings) -> DataFrame:
+    """Candidates by hash, without the texts; then each on the text it was found in."""
+    words = words_of(F.col("text"))
+    hashed = texts.select("doc_key", "tag", words.alias("words")).select(
+        "doc_key", "tag", F.size("words").alias("size"), shingle_hashes(F.col("words"), settings.words).alias("hashes")
+    ).select("doc_key", "tag", "size", F.explode("hashes").alias("doc_hash"))
+    room = F.greatest(F.col("size") - (settings.words - 1), F.lit(1))
     near = hashed.join(
         F.broadcast(part),
         (F.col("doc_hash") == F.col("hash"))
         & (room >= F.col("least"))
-        & ((F.size("words") < settings.words) == F.col("short")),
+        & ((F.col("size") < settings.words) == F.col("short")),
+    )
+    pairs = stored(
+        near.select(F.col("doc_key").alias("near_key"), F.col("tag").alias("near_tag"), "item_id", "n", "least", "parts")
+        .distinct(),
+        "contained-candidates",
     )
-    line = F.concat(F.lit(" "), F.concat_ws(" ", "words"), F.lit(" "))
+    line = F.concat(F.lit(" "), F.concat_ws(" ", words), F.lit(" "))
     held = F.filter("parts", lambda s: F.contains(F.col("line"), F.concat(F.lit(" "), s, F.lit(" "))))
+    own = F.col("doc_key").eqNullSafe(F.col("near_key")) & (F.col("tag") == F.col("near_tag"))
+    # A text is prepared once, before it meets its candidates.
+    suspects = texts.join(pairs.select("near_key", "near_tag").distinct(), own, "left_semi").dropDuplicates(["doc_key", "tag"])
+    lines = suspects.select("doc_key", "tag", line.alias("line"))
     return (
-        near.select("doc_key", "item_id", "n", "least", "parts", line.alias("line"))
+        lines.join(pairs, own)
         .select("doc_key", "item_id", F.col("n").alias("item_shingles"), "least", F.size(held).alias("shared"))
         .where("shared >= least")
         .select("doc_key", "item_id", "item_shingles", "shared")
@@ -128,8 +140,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
     """
     digest = F.md5(F.coalesce("text", F.lit("")))
     hits = contained(docs.select(digest.alias("digest"), "text"), "digest", benchmark, settings)
-    bad = stored(hits.select(F.col("digest").alias("bad_digest")).distinct(), "contaminated")
-    return docs.join(bad, digest == F.col("bad_digest"), "left_anti")
+    bad_digest = free_name(docs, "bad_digest")
+    bad = stored(hits.select(F.col("digest").alias(bad_digest)).distinct(), "contaminated")
+    return docs.join(bad, digest == F.col(bad_digest), "left_anti")
 
 
 _SQL_WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"

@@ -24,7 +24,6 @@ from dataclasses import dataclass
 from functools import cache
 from hashlib import sha256
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -272,49 +271,71 @@ def blocks(rows: DataFrame, settings: Settings) -> DataFrame:
     return stored(dealt.mapInArrow(run, BLOCK), "conversation-blocks")
 
 
-BORDERS = "conv string, part int, seq int, start int, end int, cost long, illegal long, last boolean"
+BORDERS = (
+    "conv string, part int, seq int, start int, end int, last boolean, piece string, cost long, "
+    "illegal long, blank long, duplicate long, truncated long"
+)
+
+
+def block_edits(kinds: str, start: int, end: int, last: bool) -> str:
+    return edits(kinds, start, end) + "I" * (tail(end) if last else 0)
 
 
 def bordered(blocks: DataFrame) -> DataFrame:
-    """The states at both ends of every block, from the summaries of its conversation."""
+    """Per block the states at both ends, from the summaries of its conversation.
 
-    def solve(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["part", "seq"])
-        costs = [list(map(int, c)) for c in group["costs"]]
-        states = borders(costs, [list(map(int, r)) for r in group["ranks"]])
-        illegal = group["illegal"].tolist()
-        for i, (a, b) in enumerate(zip(group["last"].tolist(), group["first"].tolist()[1:])):
-            illegal[i + 1] += a + b not in LEGAL
-        cost = [c[4 * s + e] for c, s, e in zip(costs, states, states[1:])]
-        cost[-1] += INSERT * tail(states[-1])
-        out = group[["conv", "part", "seq"]].assign(start=states[:-1], end=states[1:], cost=cost, illegal=illegal)
-        return out.assign(last=[False] * (len(out) - 1) + [True])
+    A conversation of one block is solved at once; the others have no ``piece`` yet.
+    """
+    names = [c.split()[0] for c in BORDERS.split(", ")]
+    kinds = {"conv": pa.string(), "piece": pa.string(), "last": pa.bool_()}
+    kinds |= {c: pa.int32() for c in ("part", "seq", "start", "end")}
+    schema = pa.schema([(c, kinds.get(c, pa.int64())) for c in names])
+
+    def solve(rows: list[dict]) -> Iterator[tuple]:
+        states = borders([r["costs"] for r in rows], [r["ranks"] for r in rows])
+        alone, before = len(rows) == 1, None
+        for r, start, end in zip(rows, states, states[1:]):
+            last = r is rows[-1]
+            yield (
+                r["conv"], r["part"], r["seq"], start, end, last,
+                block_edits(r["kinds"], start, end, last) if alone else None,
+                r["costs"][4 * start + end] + (INSERT * tail(end) if last else 0),
+                r["illegal"] + (before is not None and before + r["first"] not in LEGAL),
+                r["blank"], r["duplicate"], r["truncated"],
+            )
+            before = r["last"]
 
-    narrow = blocks.select("conv", "part", "seq", "first", "last", "illegal", "costs", "ranks")
-    return narrow.groupBy("conv").applyInPandas(solve, BORDERS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from itertools import groupby
+
+        rows, out = (row for batch in batches for row in batch.to_pylist()), []
+        for _, own in groupby(rows, key=lambda r: r["conv"]):
+            out += solve(list(own))
+            if len(out) >= 1000:
+                yield as_batch(out, schema)
+                out = []
+        if out:
+            yield as_batch(out, schema)
+
+    dealt = blocks.repartition("conv").sortWithinPartitions("conv", "part", "seq")
+    return stored(dealt.mapInArrow(run, BORDERS), "conversation-borders")
 
 
 def solved(rows: DataFrame, settings: Settings) -> DataFrame:
-    """Per block its piece of the audit, its cost and its faults."""
+    """``BORDERS`` with every block's piece of the audit."""
     cut = blocks(rows, settings)
     ends = bordered(cut)
-    schema = pa.schema([("conv", pa.string()), ("part", pa.int32()), ("seq", pa.int32()), ("piece", pa.string())])
+    names = [c.split()[0] for c in BORDERS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [
-                (r["conv"], r["part"], r["seq"],
-                 edits(r["kinds"], r["start"], r["end"]) + "I" * (tail(r["end"]) if r["last"] else 0))
-                for r in batch.to_pylist()
-            ]
-            if out:
-                yield as_batch(out, schema)
+            column = {n: batch.column(n).to_pylist() for n in ("kinds", "start", "end", "last")}
+            pieces = pa.array([block_edits(*x) for x in zip(*column.values())], pa.string())
+            yield pa.RecordBatch.from_arrays([pieces if n == "piece" else batch.column(n) for n in names], names)
 
     key = ["conv", "part", "seq"]
-    between = cut.select(*key, "kinds").join(ends.select(*key, "start", "end", "last"), key)
-    pieces = between.mapInArrow(run, "conv string, part int, seq int, piece string")
-    counts = cut.select(*key, "blank", "duplicate", "truncated").join(ends.select(*key, "cost", "illegal"), key)
-    return stored(pieces.join(counts, key), "conversation-edits")
+    open_ = ends.where("piece IS NULL").join(cut.select(*key, "kinds"), key).select(*names, "kinds")
+    return stored(ends.where("piece IS NOT NULL").unionAll(open_.mapInArrow(run, BORDERS)), "conversation-edits")
 
 
 def applied(audit: Iterator[str], rows: Iterator[tuple[str, str]]) -> Iterator[tuple[str, str]]:

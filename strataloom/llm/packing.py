@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_batch
-from .tokens import Encoder
+from .tokens import encoder
 
 ID_BYTES = 4
 SCHEMA = (
@@ -177,13 +177,13 @@ def pack(docs: DataFrame, settings: Settings = Settings(), vocabulary: str | Non
     end = np.array([settings.end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encode = encoder(vocabulary).encode
         packer = Packer(settings, TaskContext.get().partitionId() << 36)
 
         def windows() -> Iterator[Window]:
             for batch in batches:
                 for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-                    ids = encoder.encode(text.as_py()) + end
+                    ids = encode(text.as_py()) + end
                     yield from packer.place(Piece(doc_id.as_py(), 0, ids, len(ids) // ID_BYTES))
             yield from packer.pour()
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import free_name, stored
 from .graph import components
 
 STRIDE = 4
@@ -314,10 +314,13 @@ def near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The row with the smallest doc_id of each component, all columns of ``docs``.
 
-    A repeated row is one document and stays once.  Rows without doc_id can be told
-    neither from copies nor from each other and all stay.
+    A repeated row is one document and stays once.  Rows that share a doc_id but not the
+    text are parts of one document: if the doc_id is the smallest of a component that one
+    of its texts is in, each of its different texts stays once.  Rows without doc_id can be
+    told neither from copies nor from each other and all stay.
     """
-    found = near_copies(docs, settings).where("doc_id = component_id")
-    kept = stored(found.select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
-    first = docs.join(kept, docs.doc_id == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    found = near_copies(docs.select("doc_id", "text"), settings).where("doc_id = component_id")
+    kept_id = free_name(docs, "kept_id")
+    kept = stored(found.select(F.col("doc_id").alias(kept_id)).distinct(), "kept")
+    first = docs.join(kept, F.col("doc_id") == F.col(kept_id), "left_semi").dropDuplicates(["doc_id", "text"])
     return first.unionByName(docs.where("doc_id IS NULL"))

@@ -6,6 +6,7 @@ import codecs
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 
@@ -38,7 +39,7 @@ PIECES, BYTES = _pieces(), _byte_characters()
 APART = b"\xc0"
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 SLICE = 1 << 20
-CACHED = 150_000
+CACHED = 300_000
 LONGEST = 64
 
 
@@ -112,3 +113,9 @@ class Encoder:
             found = self.learn(list({p for p, x in zip(pieces, ids) if x is None}))
             ids = [found[p] if x is None else x for p, x in zip(pieces, ids)]
         return b"".join(ids)
+
+
+@cache
+def encoder(path: str | None = None) -> Encoder:
+    """One encoder per worker process: what a task has learned serves the next one."""
+    return Encoder(path)

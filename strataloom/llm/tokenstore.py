@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..session import fresh_dir
 from .common import as_batch, stored
-from .tokens import Encoder
+from .tokens import encoder
 
 INDEX_MAGIC, TABLE_MAGIC, END_MAGIC = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
@@ -161,7 +161,7 @@ def write_files(docs: DataFrame, folder: str, settings: Settings = Settings(), v
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId()
-        encoder, writer, out = Encoder(vocabulary), None, None
+        encode, writer, out = encoder(vocabulary).encode, None, None
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
                 if writer is None:
@@ -170,7 +170,7 @@ def write_files(docs: DataFrame, folder: str, settings: Settings = Settings(), v
                     name = f"tokens-{number:06d}-{uuid.uuid4().hex}.zst"
                     out = store.open_output_stream(f"{inside}/{name}", compression=None)
                     writer = Writer(out, settings)
-                writer.add(doc_id.as_py(), encoder.encode(text.as_py()) + end)
+                writer.add(doc_id.as_py(), encode(text.as_py()) + end)
         if writer is None:
             return
         writer.close()

@@ -97,6 +97,18 @@ def test_dense_fingerprints_over_many_nodes(spark):
 
 def test_empty_table(spark):
     assert simhash.near_copies(frame(spark, [])).count() == 0
+    assert simhash.one_of_each(frame(spark, [])).count() == 0
+
+
+def test_one_of_each_with_a_doc_id_of_two_texts(spark):
+    """Both texts of the smallest doc_id stay, what is near either of them goes."""
+    a, b, c = ("alpha beta gamma delta epsilon", "one two three four five six", "quite another text of its own here")
+    rows = [(1, a), (1, b), (1, a), (2, a), (3, b), (4, c), (5, c), (None, a), (None, a)]
+    df = frame(spark, rows, "doc_id long, text string").selectExpr("*", "'x' AS kept_id", "doc_id AS rep")
+    out = simhash.one_of_each(df)
+    assert out.columns == df.columns
+    got = sorted(((r.doc_id is None, r.doc_id or 0), r.text) for r in out.collect())
+    assert [(i, t) for (_, i), t in got] == [(1, a), (1, b), (4, c), (0, a), (0, a)]
 
 
 def test_components_of_chain_and_star(spark):
