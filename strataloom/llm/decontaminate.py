@@ -103,9 +103,12 @@ def contained(docs: DataFrame, key: str, benchmark: DataFrame, settings: Setting
 def _contained_in(texts: DataFrame, part: DataFrame, settings: Settings) -> DataFrame:
     """Candidates by hash, without the texts; then each on the text it was found in."""
     words = words_of(F.col("text"))
-    hashed = texts.select("doc_key", "tag", words.alias("words")).select(
-        "doc_key", "tag", F.size("words").alias("size"), shingle_hashes(F.col("words"), settings.words).alias("hashes")
-    ).select("doc_key", "tag", "size", F.explode("hashes").alias("doc_hash"))
+    # Exploded, the words are a value of the row; otherwise each shingle would split the text anew.
+    split = texts.select("doc_key", "tag", F.explode(F.array(words)).alias("words"))
+    sized = split.select("doc_key", "tag", F.size("words").alias("size"), "words")
+    hashed = sized.select(
+        "doc_key", "tag", "size", F.explode(shingle_hashes(F.col("words"), settings.words)).alias("doc_hash")
+    )
     room = F.greatest(F.col("size") - (settings.words - 1), F.lit(1))
     near = hashed.join(
         F.broadcast(part),
