@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataloom.llm import decontaminate, langid, nearcopies, packing, quality
+from strataloom.llm import decontaminate, langid, packing, quality, simhash
 from strataloom.llm.common import importable, stored
 
 LEAST_QUALITY = 0.3
@@ -22,7 +22,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on labelled rows of docs, scores well."""
+    """Documents that the classifier, fitted on labelled rows of docs, scores well.
+
+    Whether a row stays depends on its text alone, NULL being empty; repeated rows share
+    their fate, and an empty table stays empty.
+    """
     importable(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     score = quality.learned_scorer(docs, labels)
@@ -32,10 +36,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest doc_id.
 
-    Near copies share 0.8 or more of their five-word shingles.
+    Groups are those of the SimHash operator: fingerprints of three-word shingles, linked
+    at two or fewer differing bits.  Rows without doc_id and the texts of a repeated
+    doc_id are treated as in ``simhash.one_of_each``.
     """
     importable(spark)
-    return nearcopies.one_of_each(docs)
+    return simhash.one_of_each(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +51,11 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences, as in the packing query."""
+    """Pieces of token sequences, as in the packing query.
+
+    A NULL text is its end id alone; repeated rows and rows without doc_id are packed like
+    any other; an empty table gives no piece.
+    """
     importable(spark)
     return packing.pieces(packing.pack(docs))
 
