@@ -117,15 +117,12 @@ def hourly_rollup_latest(g: Given) -> DataFrame:
 
 @query(_ROLLUP_SQL)
 def hourly_rollup_stream(g: Given) -> DataFrame:
-    """The same over the events read as a stream."""
-    events = g.table("events")
-    stream = (
-        g.spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
-        .parquet(g.sf_dir)
-    )
-    path, key, order = fresh_dir(g.spark, "rollup"), ["user_id"], ["event_id"]
+    """The same over the events read as a stream, with open hours as state."""
+    schema = g.table("events").schema
+    stream = incremental.table_stream(g.spark, g.sf_dir, "events", schema)
+    path = fresh_dir(g.spark, "rollup")
     incremental.hourly_upserts(
-        stream, key, "ts", order, path, fresh_dir(g.spark, "progress")
+        stream, ["user_id"], "ts", ["event_id"], path, fresh_dir(g.spark, "progress")
     ).awaitTermination()
-    final = incremental.read_hourly(g.spark, path, key, "ts", order)
+    final = incremental.read_hourly(g.spark, path, schema)
     return final.select("user_id", stamp("hour").alias("hour"), "event_id", "event_type", "value")
