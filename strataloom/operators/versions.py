@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import version_key
+from ..session import stored
 from .latest import latest_by_key
 
 # Fixed value: an open version ends this many days after it starts.
@@ -17,14 +18,22 @@ OPEN_DAYS = 36500
 
 VERSION_COLUMNS = ("id", "valid_from", "valid_to", "is_current")
 
+# A live part stored by key carries this column; a load reads only the buckets of its keys.
+BUCKET = "bucket"
+BUCKETS = 256
+
+# What a load does to a version.
+KEPT, SAME, CLOSED, BEGUN = "kept", "same", "closed", "begun"
+
 
 @dataclass(frozen=True)
 class VersionChange:
     """What one batch does to a dimension.
 
-    ``current`` is the new live part, ``closed`` the versions it ended; the
-    history before the batch is not read.  ``spoken`` is the part of ``current``
-    the batch spoke about, ``inserted`` and ``unchanged`` together.
+    ``current`` is the new live part, of a dimension stored by key the part in the
+    buckets the batch touches; ``closed`` are the versions it ended; the history before
+    the batch is not read.  ``spoken`` is the part of ``current`` the batch spoke about,
+    ``inserted`` and ``unchanged`` together.  All are filters on one stored table.
     """
 
     current: DataFrame
@@ -70,25 +79,23 @@ def rebuild_versions(
     )
 
 
-def apply_versions(
+def bucket_of(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def joined_change(
     current: DataFrame,
     incoming: DataFrame,
     key: str,
     loaded_at: dt.datetime,
     change: str = "hashdiff",
     open_days: int = OPEN_DAYS,
-) -> VersionChange:
-    """One batch against the live versions; both sides have one row per key.
+) -> DataFrame:
+    """What a batch does, version by version: the columns of ``current`` and an ``action``.
 
-    Same hash: the version stays, with its id and owner.  Other hash: it ends at
-    ``loaded_at`` and a new one starts.  New key: inserted.  Absent key: stays.
-    Both sides meet in one full outer join on the key, unique on either side, and
-    each part of the change is a filter on it.
+    One full outer join on the key, unique on either side; a changed key gives two rows.
     """
     start = F.lit(loaded_at)
-    attributes = {c for c in current.columns if c not in VERSION_COLUMNS}
-    if not attributes <= set(incoming.columns):
-        raise ValueError(f"the batch lacks {sorted(attributes - set(incoming.columns))}")
     begun = {
         "id": version_key(F.col(key), start),
         "valid_from": start,
@@ -106,25 +113,58 @@ def apply_versions(
     both = old.join(new, F.col(f"_old_{key}") == F.col(f"_new_{key}"), "full_outer")
     had, sent = F.col("_had").isNotNull(), F.col("_sent").isNotNull()
     same = had & sent & F.col(f"_old_{change}").eqNullSafe(F.col(f"_new_{change}"))
+    ended = {"valid_to": start, "is_current": F.lit(False)}
+
+    def version(action: str, side: str, other: dict[str, Column] | None = None) -> Column:
+        fields = [
+            (other or {}).get(f.name, F.col(f"_{side}_{f.name}")).cast(f.dataType).alias(f.name)
+            for f in current.schema
+        ]
+        return F.struct(F.lit(action).alias("action"), *fields)
+
+    rows = (
+        F.when(~sent, F.array(version(KEPT, "old")))
+        .when(same, F.array(version(SAME, "old")))
+        .when(had, F.array(version(CLOSED, "old", ended), version(BEGUN, "new")))
+        .otherwise(F.array(version(BEGUN, "new")))
+    )
+    return both.select(F.explode(rows).alias("version")).select("version.*")
+
 
-    def taken(rows: DataFrame, side: str) -> DataFrame:
-        return rows.select(*[F.col(f"_{side}_{c}").alias(c) for c in current.columns])
+def apply_versions(
+    current: DataFrame,
+    incoming: DataFrame,
+    key: str,
+    loaded_at: dt.datetime,
+    change: str = "hashdiff",
+    open_days: int = OPEN_DAYS,
+) -> VersionChange:
+    """One batch against the live versions; both sides have one row per key.
+
+    Same hash: the version stays, with its id and owner.  Other hash: it ends at
+    ``loaded_at`` and a new one starts.  New key: inserted.  Absent key: stays.
+    The joined change is written once to the shared scratch folder, and every part of
+    it is a filter on that table.  If ``current`` is stored by key (it has a column
+    ``bucket``), only the buckets of the batch's keys are read.
+    """
+    if BUCKET in current.columns:
+        incoming = stored(incoming.withColumn(BUCKET, bucket_of(F.col(key))), "incoming")
+        touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]
+        current = current.where(F.col(BUCKET).isin(touched))
+    attributes = {c for c in current.columns if c not in VERSION_COLUMNS}
+    if not attributes <= set(incoming.columns):
+        raise ValueError(f"the batch lacks {sorted(attributes - set(incoming.columns))}")
+    done = stored(joined_change(current, incoming, key, loaded_at, change, open_days), "versions")
 
-    def either(rows: DataFrame, is_old: Column) -> DataFrame:
-        return rows.select(
-            *[
-                F.when(is_old, F.col(f"_old_{c}")).otherwise(F.col(f"_new_{c}")).alias(c)
-                for c in current.columns
-            ]
-        )
+    def part(*actions: str) -> DataFrame:
+        return done.where(F.col("action").isin(*actions)).drop("action")
 
-    closed = taken(both.where(had & sent & ~same), "old")
     return VersionChange(
-        current=either(both, same | ~sent),
-        closed=closed.withColumns({"valid_to": start, "is_current": F.lit(False)}),
-        inserted=taken(both.where(sent & ~same), "new"),
-        unchanged=taken(both.where(same), "old"),
-        spoken=either(both.where(sent), same),
+        current=part(KEPT, SAME, BEGUN),
+        closed=part(CLOSED),
+        inserted=part(BEGUN),
+        unchanged=part(SAME),
+        spoken=part(SAME, BEGUN),
     )
 
 

@@ -74,7 +74,8 @@ def _applied(
     g: Given, rows: DataFrame, key: str, order: tuple[str, ...], cut: dt.datetime
 ) -> DataFrame:
     """Live and ended versions after one load of all rows since ``cut`` onto the history
-    before; the load is dated by its newest row."""
+    before; the load is dated by its newest row.  The rows are derived once and stored."""
+    rows = g.stored(rows, "version-rows")
     newest = rows.select(F.date_format(F.max("loaded_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
     load = dt.datetime.fromisoformat(newest).replace(tzinfo=_UTC) if newest else cut
     before = rows.where(F.col("loaded_at") < F.lit(cut))

@@ -107,7 +107,7 @@ def models_load(
     rows = stored(prepared_models(latest_by_key(batch, ["id"], order)), "load-rows")
     owners = one_per_name(owner_types(rows.select(F.col("owner").alias("name")), known_users))
     party_change = apply_versions(parties, owners, "name", loaded_at)
-    live = stored(party_change.spoken, "load-parties")
+    live = party_change.spoken
 
     # Every owner is a party by now, so a row's own columns decide on its fate.
     accepted, rejects = split_rejects(
@@ -172,7 +172,7 @@ def papers_load(
         or_empty(F.col("ai_keywords")).alias("ai_keywords"),
     ), "load-rows")
     party_change = apply_versions(parties, one_per_name(paper_parties(rows)), "name", loaded_at)
-    live = stored(party_change.spoken, "load-parties")
+    live = party_change.spoken
     # Every submitter is a party by now, so a row's own columns decide on its fate.
     keyed = with_calendar(rows, static.date, "published_at", "publish_")
     accepted, rejects = split_rejects(
@@ -224,7 +224,7 @@ def posts_load(
     """``parties`` and ``posts`` are the live versions before the load."""
     rows = stored(prepared_posts(latest_by_key(batch, ["slug"], order)), "load-rows")
     party_change = apply_versions(parties, one_per_name(post_parties(rows)), "name", loaded_at)
-    live = stored(party_change.spoken, "load-parties")
+    live = party_change.spoken
 
     dated = with_calendar(rows, static.date, "published_at", "publish_")
     accepted, rejects = split_rejects(

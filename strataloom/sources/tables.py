@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.records import or_empty
-from ..operators.versions import VersionChange
+from ..operators.versions import BUCKET, VersionChange
 from ..schemas import TABLES, Table, table
 from ..session import fresh_dir
 
@@ -124,6 +126,31 @@ def _ended(name: str) -> str:
     return f"{name}_ended"
 
 
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_mode_lock = threading.Lock()
+_mode_users: dict[int, tuple[int, str | None]] = {}
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """The overwrite mode of a session, dynamic while any of its writers is inside."""
+    with _mode_lock:
+        users, before = _mode_users.get(id(spark), (0, spark.conf.get(_OVERWRITE_MODE, None)))
+        _mode_users[id(spark)] = users + 1, before
+        spark.conf.set(_OVERWRITE_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        with _mode_lock:
+            users, before = _mode_users.pop(id(spark))
+            if users > 1:
+                _mode_users[id(spark)] = users - 1, before
+            elif before is None:
+                spark.conf.unset(_OVERWRITE_MODE)
+            else:
+                spark.conf.set(_OVERWRITE_MODE, before)
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """The tables of all layers in the session catalogue, with files under ``root``.
@@ -145,19 +172,18 @@ class Warehouse:
             self.spark.catalog.refreshTable(self.prefix + each)
 
     def live(self, name: str) -> DataFrame:
-        """The live versions of a versioned dimension."""
+        """The live versions of a versioned dimension, with the bucket of their key."""
         spec = table(name)
         return self.frame(_live(name)).withColumn("is_current", F.lit(True)).select(
-            *spec.column_names
+            *spec.column_names, BUCKET
         )
 
     def init_tables(self, layers: Iterable[str] = ("ods", "dds", "ads")) -> None:
         """Create the databases and empty tables of the layers; existing ones stay.
 
-        A versioned dimension is a view over two tables: its live versions,
-        replaced by each load, and the ended ones, which only grow.  A load thus
-        costs what the live part costs, and a filter on ``is_current`` drops one
-        side of the view.
+        A versioned dimension is a view over two tables: its live versions, stored by
+        key bucket, and the ended ones, which only grow.  A load reads and rewrites the
+        buckets of its keys, and a filter on ``is_current`` drops one side of the view.
         """
         wanted = set(layers)
         for layer in sorted(wanted):
@@ -182,8 +208,10 @@ class Warehouse:
 
     def _create_versioned(self, spec: Table) -> None:
         stored = ", ".join(c for c in spec.columns.split(", ") if not c.startswith("is_current "))
-        self._create(_live(spec.name), stored)
-        self._create(_ended(spec.name), f"{stored}, ended_by string", ("ended_by",))
+        self._create(_live(spec.name), f"{stored}, {BUCKET} int", (BUCKET,))
+        self._create(
+            _ended(spec.name), f"{stored}, ended_by string, {BUCKET} int", ("ended_by", BUCKET)
+        )
         sides = []
         for source, state in ((_live(spec.name), "true"), (_ended(spec.name), "false")):
             columns = ", ".join(
@@ -218,17 +246,16 @@ class Warehouse:
     def commit_versions(
         self, change: VersionChange, name: str, loaded_at: str | dt.datetime
     ) -> None:
-        """Store what a load did to a versioned dimension.
+        """Store what a load did to a versioned dimension, bucket by bucket.
 
-        Ended versions go to a partition of their own load, so that a rerun
-        rewrites it; a rerun after success ends nothing and leaves the partition
-        alone.
+        Ended versions go to partitions of their own load and bucket.  A run that died
+        half-way is repeated whole: buckets that were replaced end nothing any more and
+        keep what the first attempt has stored, the others are stored anew.
         """
         load = F.lit(_batch_folder(loaded_at))
-        self._overwrite_partitions(
-            change.closed.drop("is_current").withColumn("ended_by", load), _ended(name)
-        )
-        self.replace(change.current.drop("is_current"), _live(name), loaded_at)
+        ended = change.closed.drop("is_current").withColumn("ended_by", load)
+        self._overwrite_partitions(ended, _ended(name))
+        self._overwrite_partitions(change.current.drop("is_current"), _live(name))
 
     def commit_partitions(self, df: DataFrame, name: str) -> None:
         """Replace the partitions ``df`` covers; it may be computed from the table.
@@ -244,12 +271,12 @@ class Warehouse:
     def _overwrite_partitions(self, df: DataFrame, name: str) -> None:
         # An insert takes the mode from the session only; without it the insert
         # would empty the partitions it has no rows for.
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         # The last column is the partition; rows are gathered by it, and a large
         # partition is split again, so that files are neither many nor huge.
         columns = self.frame(name).columns
         even = df.select(*columns).hint("rebalance", columns[-1])
-        even.write.insertInto(self.prefix + name, overwrite=True)
+        with _dynamic_overwrite(self.spark):
+            even.write.insertInto(self.prefix + name, overwrite=True)
         self.spark.catalog.refreshTable(self.prefix + name)
 
     def append(self, df: DataFrame, name: str) -> None:

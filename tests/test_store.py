@@ -101,6 +101,51 @@ def test_model_loads(spark, home):
         assert broken.collect() == [], name
 
 
+def test_a_load_touches_the_buckets_of_its_keys(spark, home):
+    """Bytes read and written follow the load, also when a run died between two writes."""
+    static = flows.StaticDimensions.generate(spark)
+    flows.store_static(home, static)
+
+    def post(slug, content, author):
+        return {
+            "slug": slug, "author": {"name": author}, "rawContent": content,
+            "publishedAt": "2024-02-29T10:00:00.000Z", "updatedAt": None,
+            "totalUniqueImpressions": 1, "numComments": 2, "reactions": [], "mentions": [], "attachments": [],
+        }
+
+    def load(moment, *posts):
+        batch = project_posts(raw(spark, list(posts), RAW_POST, moment))
+        return flows.posts_load(
+            batch, home.live("dds.parties"), home.live("dds.dim_posts"), static, moment, ["position"]
+        )
+
+    def files(name):
+        found = spark.table(f"{home.prefix}{name}").select("bucket", F.input_file_name().alias("file")).distinct()
+        return {r.bucket: r.file for r in found.collect()}
+
+    flows.commit(home, load(FIRST, *[post(f"s{i}", "x", f"a{i}") for i in range(60)]))
+    before = files("dds.dim_posts_live")
+    assert len(before) > 40
+    second = load(SECOND, post("s1", "y", "a1"), post("new", "z", "a1"))
+    buckets = {r.bucket for r in second.versions["dds.dim_posts"].spoken.collect()}
+    text = second.versions["dds.dim_posts"].current.select("slug").collect()
+    assert len(buckets) == 2 and len(text) < 10
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
+    # A run that dies after the ended versions and before the live ones.
+    change = second.versions["dds.dim_posts"]
+    home._overwrite_partitions(
+        change.closed.drop("is_current").withColumn("ended_by", F.lit("20240302T050000000000")), "dds.dim_posts_ended"
+    )
+    flows.commit(home, second)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode", None) == mode
+    after = files("dds.dim_posts_live")
+    assert {b for b in after if after[b] != before.get(b)} == buckets
+    for _ in range(2):
+        state = {(r.slug, r.content_raw, r.is_current) for r in home.frame("dds.dim_posts").collect()}
+        assert state >= {("s1", "x", False), ("s1", "y", True), ("new", "z", True)} and len(state) == 62
+        flows.commit(home, load(SECOND, post("s1", "y", "a1"), post("new", "z", "a1")))
+
+
 def test_posts_and_papers(spark, home):
     static = flows.StaticDimensions.generate(spark)
     flows.store_static(home, static)
