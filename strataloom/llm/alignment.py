@@ -172,13 +172,24 @@ class Aligned:
     times: np.ndarray | None = None
 
 
-def group_text(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> str:
-    """``a1,a2|b1;a3|b2,b3``"""
-    a, b, out, i, j = list(map(str, a)), list(map(str, b)), [], 0, 0
-    for to_i, to_j in zip(ends_a, ends_b):
-        out.append(",".join(a[i:to_i]) + "|" + ",".join(b[j:to_j]))
-        i, j = to_i, to_j
-    return ";".join(out)
+@cache
+def written(left: int, right: int) -> list[str]:
+    """Ids of both vocabularies as text with what follows them: A's before a comma or the
+    bar, then B's before a comma or the end of the group."""
+    return [f"{i}{c}" for n, ends in ((left, ",|"), (right, ",;")) for i in range(n) for c in ends]
+
+
+def group_codes(a, b, size_a, size_b, left: int) -> np.ndarray:
+    """Positions in ``written`` of all tokens, group by group, A's first."""
+    end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
+    codes = np.empty(len(a) + len(b), np.int64)
+    last = np.zeros(len(a), np.int64)
+    last[end_a - 1] = 1
+    codes[np.arange(len(a)) + np.repeat(end_b - size_b, size_a)] = 2 * a + last
+    last = np.zeros(len(b), np.int64)
+    last[end_b - 1] = 1
+    codes[np.arange(len(b)) + np.repeat(end_a, size_b)] = 2 * (left + b) + last
+    return codes
 
 
 def align(texts: list[str | None], settings: Settings = Settings(), with_groups: bool = True) -> list[Aligned]:
@@ -204,19 +215,17 @@ def align(texts: list[str | None], settings: Settings = Settings(), with_groups:
     first_b = np.cumsum([0] + [len(b) for _, _, b in held])
     doc = np.searchsorted(first_a, cut_a, side="right") - 1
     sizes_a, sizes_b = np.diff(cut_a, prepend=-1), np.diff(cut_b, prepend=-1)
-    keys, times = linked_pairs(
-        np.concatenate([a for _, a, _ in held]), np.concatenate([b for _, _, b in held]),
-        sizes_a, sizes_b, doc, len(right.bytes), settings.wide,
-    )
+    all_a, all_b = np.concatenate([a for _, a, _ in held]), np.concatenate([b for _, _, b in held])
+    keys, times = linked_pairs(all_a, all_b, sizes_a, sizes_b, doc, len(right.bytes), settings.wide)
+    codes = group_codes(all_a, all_b, sizes_a, sizes_b, len(left.bytes))
+    spell = written(len(left.bytes), len(right.bytes)).__getitem__
     links = np.zeros(len(held), np.int64)
     np.add.at(links, doc, sizes_a * sizes_b)
     groups = np.searchsorted(doc, np.arange(len(held) + 1))
     bounds = np.searchsorted(keys, np.arange(len(held) + 1) << DOC)
     for k, (i, a, b) in enumerate(held):
-        own = slice(groups[k], groups[k + 1])
-        text = group_text(
-            a.tolist(), b.tolist(), (cut_a[own] + 1 - first_a[k]).tolist(), (cut_b[own] + 1 - first_b[k]).tolist()
-        )
+        at = first_a[k] + first_b[k]
+        text = "".join(map(spell, codes[at : at + len(a) + len(b)].tolist()))[:-1]
         mine = slice(bounds[k], bounds[k + 1])
         out[i] = Aligned(
             len(a), len(b), int(groups[k + 1] - groups[k]), int(links[k]),
