@@ -9,14 +9,17 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.moments import recent_date_ids
 from ..functions.numbers import exact, likes_ratio, round_half_up
 from ..functions.text import default_label, modification_label
+from ..session import stored
 from .latest import latest_by_key
 from .ranking import percentile_by, ranked_top_k
 
@@ -172,24 +175,52 @@ def leaderboard(t: DetailTables, as_of: dt.date, leaders: int = LEADERS) -> Data
     )
 
 
-def all_marts(t: DetailTables, as_of: dt.date, unique: DataFrame) -> dict[str, DataFrame]:
-    """Every mart by name; ``unique`` is M1, persisted or written by the caller."""
+def all_marts(t: DetailTables, as_of: dt.date, unique: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+    """How to build every mart, by name; ``unique`` is M1, written by the caller."""
     return {
-        "unique_top7d": unique,
-        "tag_pie": tag_pie(t, unique),
-        "owners_treemap": owners_treemap(t, unique),
-        "trending_line": trending_line(t, as_of),
-        "leaderboard_30d": leaderboard(t, as_of),
-        "license_histogram": license_histogram(t, unique),
-        "modification_pie": modification_pie(t, unique),
+        "unique_top7d": lambda: unique,
+        "tag_pie": lambda: tag_pie(t, unique),
+        "owners_treemap": lambda: owners_treemap(t, unique),
+        "trending_line": lambda: trending_line(t, as_of),
+        "leaderboard_30d": lambda: leaderboard(t, as_of),
+        "license_histogram": lambda: license_histogram(t, unique),
+        "modification_pie": lambda: modification_pie(t, unique),
     }
 
 
-def refresh(t: DetailTables, as_of: dt.date, write: Callable[[str, DataFrame], None]) -> None:
-    """Compute the week's models once and write all marts from them."""
-    unique = unique_recent(t, as_of).persist()
-    try:
-        for name, mart in all_marts(t, as_of, unique).items():
-            write(name, mart)
-    finally:
-        unique.unpersist()
+def refresh(
+    t: DetailTables,
+    as_of: dt.date,
+    write: Callable[[str, DataFrame], None],
+    writers: int = 4,
+    pool: str = "marts",
+) -> None:
+    """Store the week's models once and write all marts from them, side by side.
+
+    The stored table outlives an executor.  Each mart is built and written by a thread of
+    its own in a scheduler pool of its own (``pool.name``), so that under fair scheduling
+    none waits for another's last tasks.  A mart that fails does not keep the others from
+    being written; what failed is raised together in the end.
+    """
+    unique = stored(unique_recent(t, as_of), "unique-recent")
+    session = unique.sparkSession
+    context = session.sparkContext
+
+    def run(name: str, build: Callable[[], DataFrame]) -> None:
+        context.setLocalProperty("spark.scheduler.pool", f"{pool}.{name}")
+        try:
+            write(name, build())
+        finally:
+            context.setLocalProperty("spark.scheduler.pool", None)
+
+    marts, failed = all_marts(t, as_of, unique), []
+    with ThreadPoolExecutor(writers) as threads:
+        jobs = {name: threads.submit(inheritable_thread_target(session)(run), name, build) for name, build in marts.items()}
+        for name, job in jobs.items():
+            try:
+                job.result()
+            except Exception as error:
+                error.add_note(f"mart {name}")
+                failed.append(error)
+    if failed:
+        raise ExceptionGroup(f"{len(failed)} of {len(marts)} marts failed", failed)

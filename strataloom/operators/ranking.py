@@ -8,9 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 # A percentile sketch of this accuracy errs by at most one rank in 10,000.
 _SKETCH_ACCURACY = 10000
-_SKETCH_SLACK = 4 / _SKETCH_ACCURACY
+# A bracket reaches this many sketch errors to both sides; groups it misses try again with
+# one that is wider by the other factor.
+_SLACK, _WIDER = 4, 8
 
 
 def top_k(df: DataFrame, k: int, value: str, tie_break: Sequence[str]) -> DataFrame:
@@ -48,34 +52,62 @@ def percentile_by(
     share: float = 0.5,
     name: str = "percentile",
     few_groups: bool = False,
+    accuracy: int = _SKETCH_ACCURACY,
 ) -> DataFrame:
     """Exact continuous percentile per group, for groups of any size.
 
     The built-in aggregate keeps all distinct values of a group in one task.
     Here a bounded sketch first brackets the wanted rank; then one aggregation
     counts what lies below the bracket and counts each value inside it.  Only the
-    bracket, a thousandth of the group, is ordered.  ``few_groups`` states that
-    their number is bounded, as days of a month are, so that the brackets may be
-    broadcast and the rows need no shuffle for them.
+    bracket, a thousandth of the group, is ordered.  Groups whose rank lies outside
+    their bracket are counted again with wider ones, which in the end hold all values.
+    ``few_groups`` states that their number is bounded, as days of a month are, so that
+    the brackets may be broadcast and the rows need no shuffle for them.
     """
     rows = df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_v"))
-    shares = [max(0.0, share - _SKETCH_SLACK), min(1.0, share + _SKETCH_SLACK)]
+    slack, parts = _SLACK / accuracy, []
+    while True:
+        picked = stored(_picked(rows, group, share, slack, accuracy, few_groups), "percentile")
+        inside = F.col("_lo").isNotNull() & F.col("_hi").isNotNull()
+        exact = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part")
+        parts.append(picked.where(inside).select(*group, exact.alias(name)))
+        missed = picked.where(~inside).select(*[F.col(g).alias(f"_of_{g}") for g in group])
+        if slack >= 1 or not missed.take(1):
+            return reduce(DataFrame.unionByName, parts)
+        rows = rows.join(missed, _same_group(group), "left_semi")
+        slack *= _WIDER
+
+
+def _same_group(group: Sequence[str]) -> Column:
+    """A group and the group named ``_of_``; NULL is a group."""
+    return reduce(
+        lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in group], F.lit(True)
+    )
+
+
+def _picked(
+    rows: DataFrame, group: Sequence[str], share: float, slack: float, accuracy: int, few_groups: bool
+) -> DataFrame:
+    """Per group the values on both sides of the rank; NULL where the bracket misses one."""
+    shares = [max(0.0, share - slack), min(1.0, share + slack)]
     sketch = rows.groupBy(*group).agg(
-        F.percentile_approx("_v", shares, _SKETCH_ACCURACY).alias("_b"),
+        F.percentile_approx("_v", shares, accuracy).alias("_b"),
+        F.min("_v").alias("_least"), F.max("_v").alias("_most"),
         F.count(F.lit(1)).alias("_n"),
     )
-    low, high = F.col("_b")[0], F.col("_b")[1]
-    bracket = sketch.withColumnsRenamed({g: f"_of_{g}" for g in group})
+    # A bracket that reaches an end of the shares holds the values up to that end.
+    low = F.col("_least") if shares[0] == 0 else F.col("_b")[0]
+    high = F.col("_most") if shares[1] == 1 else F.col("_b")[1]
+    bracket = sketch.select(
+        *[F.col(g).alias(f"_of_{g}") for g in group], low.alias("_low"), high.alias("_high"), "_n"
+    )
     if few_groups:
         bracket = F.broadcast(bracket)
-    same_group = reduce(
-        lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in group], F.lit(True)
-    )
     # The label of a row: NULL below the bracket, its value inside it.
-    label = F.when(F.col("_v") >= low, F.col("_v"))
+    label = F.when(F.col("_v") >= F.col("_low"), F.col("_v"))
     counted = (
-        rows.join(bracket, same_group)
-        .where(F.col("_v") <= high)
+        rows.join(bracket, _same_group(group))
+        .where(F.col("_v") <= F.col("_high"))
         .groupBy(*group, label.alias("_x"))
         .agg(F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"))
     )
@@ -86,7 +118,7 @@ def percentile_by(
     def holds(rank: Column) -> Column:
         return (F.col("_upto") - F.col("_c") <= rank) & (rank < F.col("_upto"))
 
-    picked = (
+    return (
         counted.withColumn("_upto", upto)
         .groupBy(*group)
         .agg(
@@ -95,6 +127,3 @@ def percentile_by(
             F.first(position - F.floor(position)).alias("_part"),
         )
     )
-    exact = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part")
-    missed = F.raise_error(F.lit("percentile rank outside its bracket")).cast("double")
-    return picked.select(*group, F.coalesce(exact, missed).alias(name))

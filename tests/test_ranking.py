@@ -31,6 +31,29 @@ def test_upper_percentile(spark):
     assert ranking.percentile_by(df, ["g"], "v", 0.999).first().percentile == 999.0
 
 
+@pytest.mark.parametrize("share", [0.0, 0.37, 0.5, 1.0])
+def test_missed_brackets_are_widened(spark, monkeypatch, share):
+    """Coarse sketches miss: ties by the thousand, one group far larger than the others."""
+    rng = random.Random(11)
+    rows = [("big", float(rng.choice([0, 1, 1, 1, rng.randint(2, 10**6)]))) for _ in range(6000)]
+    rows += [("ties", float(v)) for v in [7] * 900 + [8] * 901 + [9]]
+    rows += [(g, rng.random()) for g in ("s1", "s2", None) for _ in range(rng.randint(1, 40))]
+    passes = []
+    once = ranking._picked
+    monkeypatch.setattr(ranking, "_picked", lambda *a: passes.append(a[3]) or once(*a))
+    monkeypatch.setattr(ranking, "_SLACK", 1e-9)
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    got = {r.g: r.percentile for r in ranking.percentile_by(df, ["g"], "v", share, accuracy=20).collect()}
+    for group in ("big", "ties", "s1", "s2", None):
+        values = sorted(v for g, v in rows if g == group)
+        at = (len(values) - 1) * share
+        low, high = values[int(at)], values[min(int(at) + 1, len(values) - 1)]
+        assert got.pop(group) == pytest.approx(low + (high - low) * (at - int(at)), abs=1e-9)
+    assert not got
+    assert share in (0.0, 1.0) or len(passes) > 1
+    assert passes == sorted(passes)
+
+
 def test_ranks_with_ties(spark):
     df = spark.createDataFrame(
         [("a", 5), ("b", 9), ("c", 9), ("d", 5), ("e", 5), ("f", None)], "n string, v int"
