@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ...functions.numbers import exact, round_half_up
 from ...functions.text import modification_label
-from ...operators import dimensions, flatten, latest, parties, quality, ranking
+from ...operators import dimensions, flatten, latest, parties, quality, ranking, sketches
 from ...sources import feed
 from ..given import Given
 from ..registry import as_double, query, stamp, stamp_sql
@@ -252,3 +252,24 @@ def join_modification_stats(g: Given) -> DataFrame:
     """Facts against the distinct dimension of a tag attribute, counted, ten greatest."""
     models = g.models
     return joined_stats(models, dimensions.distinct_dimension(models, "modification"))
+
+
+@query("""
+    SELECT license, count(DISTINCT model_id) AS n, true AS near
+    FROM dds_metrics JOIN dds_models ON model_id = id
+    WHERE day BETWEEN DATE '2005-06-24' AND DATE '2005-06-30' GROUP BY 1""")
+def agg_distinct_sketches(g: Given) -> DataFrame:
+    """Models with metrics in a week per license: the exact count, and whether the merged
+    daily sketches keep their stated error.
+
+    The sketches of all days are stored; the week's estimate reads those of its days only.
+    """
+    t = g.detail
+    labelled = t.metrics.join(t.models.select(F.col("id").alias("model_id"), "license"), "model_id")
+    daily = g.stored(sketches.daily_sketches(labelled, "date_id", ["license"], "model_id"), "sketches")
+    week = F.col("date_id").between(20050624, 20050630)
+    merged = sketches.merged_distinct(daily.where(week), ["license"])
+    exact = labelled.where(week).groupBy("license").agg(F.count_distinct("model_id").alias("n"))
+    other = merged.withColumnRenamed("license", "of")
+    joined = exact.join(other, F.col("license").eqNullSafe(F.col("of")))
+    return joined.select("license", "n", sketches.within_bound(F.col("estimate"), F.col("n")).alias("near"))

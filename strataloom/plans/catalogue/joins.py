@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from ...operators.flatten import explode_reactions, reaction_users, unnest
 from ...operators.parties import one_per_name, paper_parties
 from ...operators.quality import missing_names
 from ...schemas import table
+from ...sources.clustered import clustered
 from .. import flows
 from ..given import AS_OF, PAPER_LOADS, Given
 from ..registry import as_double, query, stamp, stamp_sql
@@ -41,12 +43,23 @@ def join_fact_date(g: Given) -> DataFrame:
     FROM dds_metrics JOIN dds_models ON model_id = id GROUP BY 1""")
 def join_fact_model(g: Given) -> DataFrame:
     """Facts per model attribute: summed per model before the join."""
-    t = g.detail
+    return _by_license(g.detail)
+
+
+def _by_license(t: marts.DetailTables) -> DataFrame:
     per_model = t.metrics.groupBy("model_id").agg(_n(), F.sum("likes").alias("likes"))
     joined = per_model.join(t.models.withColumnRenamed("id", "model_id"), "model_id")
     return joined.groupBy("license").agg(F.sum("n").alias("n"), F.sum("likes").alias("likes"))
 
 
+@query("""
+    SELECT license, count(*) AS n, CAST(sum(likes) AS BIGINT) AS likes
+    FROM dds_metrics JOIN dds_models ON model_id = id GROUP BY 1""")
+def join_fact_model_clustered(g: Given) -> DataFrame:
+    """The same over tables bucketed by model: facts are grouped and joined where they lie."""
+    return _by_license(clustered_detail(g.detail))
+
+
 @query("SELECT model_id, name FROM unique_recent JOIN dds_models ON model_id = id")
 def join_mart_model(g: Given) -> DataFrame:
     unique = marts.unique_recent(g.detail, AS_OF)
@@ -78,7 +91,10 @@ def join_mart_fact(g: Given) -> DataFrame:
       JOIN dds_parties p ON m.owner_id = p.id JOIN dds_metrics f ON u.model_id = f.model_id
     GROUP BY ALL""")
 def star_join_4way(g: Given) -> DataFrame:
-    t = g.detail
+    return _star(g.detail)
+
+
+def _star(t: marts.DetailTables) -> DataFrame:
     unique = marts.unique_recent(t, AS_OF)
     per_model = (
         t.metrics.join(unique, "model_id", "left_semi").groupBy("model_id")
@@ -92,6 +108,32 @@ def star_join_4way(g: Given) -> DataFrame:
     )
 
 
+# Buckets of the given tables; a cluster's tables take as many as give buckets of some
+# hundred megabytes.
+_BUCKETS = 16
+
+
+def clustered_detail(t: marts.DetailTables) -> marts.DetailTables:
+    """Facts and models bucketed by model."""
+    model = t.models.schema["id"].dataType
+    metrics = t.metrics.withColumn("model_id", F.col("model_id").cast(model))
+    return replace(
+        t,
+        metrics=clustered(metrics, "model_id", _BUCKETS, "facts_by_model"),
+        models=clustered(t.models, "id", _BUCKETS, "models_by_id"),
+    )
+
+
+@query("""
+    SELECT p.name AS owner, m.license AS license, count(*) AS n,
+      CAST(sum(CAST(f.trending_score AS DECIMAL(28, 6))) AS DOUBLE) AS score
+    FROM unique_recent u JOIN dds_models m ON u.model_id = m.id
+      JOIN dds_parties p ON m.owner_id = p.id JOIN dds_metrics f ON u.model_id = f.model_id
+    GROUP BY ALL""")
+def star_join_clustered(g: Given) -> DataFrame:
+    return _star(clustered_detail(g.detail))
+
+
 @query("""
     SELECT CAST(CASE WHEN year(o_orderdate) >= 2000 THEN strftime(o_orderdate, '%Y%m%d') END
         AS VARCHAR) AS date_id,

@@ -16,7 +16,7 @@ from ...operators.dimensions import distinct_dimension, distinct_values
 from ...operators.lookups import keep_known, reasons, split_rejects
 from ...schemas import BENCH_MODEL, RAW_POST, table
 from ...session import fresh_dir
-from ...sources import feed, staging, tables
+from ...sources import clustered, feed, staging, tables
 from .. import flows
 from ..given import AS_OF, PAPER_LOADS, Given
 from ..registry import listed, query, stamp, stamp_sql
@@ -153,7 +153,7 @@ def ods_append_document(g: Given) -> DataFrame:
 def ods_append_normalised(g: Given) -> DataFrame:
     path = fresh_dir(g.spark, "columnar-posts")
     rows = tables.normalised_rows(g.posts, table("ods.posts"))
-    tables.append_batch(rows.drop("loaded_at"), path, FEED_NOW)
+    clustered.append_sorted(rows.drop("loaded_at"), path, FEED_NOW, ["slug"])
     return g.spark.read.parquet(path).select(
         "slug", "total_unique_impressions", "num_comments", "reactions",
         listed("mentions").alias("mentions"),
