@@ -124,8 +124,10 @@ def _contained_in(texts: DataFrame, part: DataFrame, settings: Settings) -> Data
     line = F.concat(F.lit(" "), F.concat_ws(" ", words), F.lit(" "))
     held = F.filter("parts", lambda s: F.contains(F.col("line"), F.concat(F.lit(" "), s, F.lit(" "))))
     own = F.col("doc_key").eqNullSafe(F.col("near_key")) & (F.col("tag") == F.col("near_tag"))
-    # A text is prepared once, before it meets its candidates.
-    suspects = texts.join(pairs.select("near_key", "near_tag").distinct(), own, "left_semi").dropDuplicates(["doc_key", "tag"])
+    # Only eight bytes of each suspect are compared with all texts, so that the optimizer may
+    # broadcast them; a text is prepared once, before it meets its candidates.
+    few = pairs.select("near_tag").distinct()
+    suspects = texts.join(few, F.col("tag") == F.col("near_tag"), "left_semi").dropDuplicates(["doc_key", "tag"])
     lines = suspects.select("doc_key", "tag", line.alias("line"))
     return (
         lines.join(pairs, own)
@@ -141,7 +143,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
     Whether a row goes depends on its text alone, so rows without doc_id are judged like
     any other.
     """
-    digest = F.md5(F.coalesce("text", F.lit("")))
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
     hits = contained(docs.select(digest.alias("digest"), "text"), "digest", benchmark, settings)
     bad_digest = free_name(docs, "bad_digest")
     bad = stored(hits.select(F.col("digest").alias(bad_digest)).distinct(), "contaminated")
