@@ -31,6 +31,7 @@ from ..operators.parties import one_per_name, owner_types, paper_parties, post_p
 from ..operators.versions import VersionChange, apply_versions
 from ..schemas import table
 from ..session import stored
+from ..sources.ledger import BEGUN, ENDED, Ledger
 from ..sources.tables import Warehouse
 
 MODEL_ATTRIBUTES = (
@@ -274,10 +275,14 @@ def posts_load(
 def commit(warehouse: Warehouse, load: Load, writers: int = 4) -> None:
     """Store a load: facts and rows first, then the dimensions they were read from.
 
-    Every step is keyed, so a run that died can be repeated as a whole: ids do not
-    depend on the run, and the live versions it started from are replaced last.
-    Tables that do not depend on each other are written side by side.
+    The ledger has a note of the load before the first write and one after the last, so
+    readers of ``ledger.visible`` see all of it or nothing.  Every step is keyed, so a run
+    that died can be repeated as a whole: ids do not depend on the run, and the live
+    versions it started from are replaced last.  Tables that do not depend on each other
+    are written side by side.
     """
+    ledger, tables = Ledger(warehouse), [*load.facts, *load.rows, *load.versions]
+    ledger.note(load.loaded_at, BEGUN, tables)
 
     def store_fact(name: str) -> None:
         key = table(name).key
@@ -298,6 +303,7 @@ def commit(warehouse: Warehouse, load: Load, writers: int = 4) -> None:
     # The party versions are read by the other dimensions, so they go last.
     for name in sorted(load.versions, key=lambda n: n == "dds.parties"):
         warehouse.commit_versions(load.versions[name], name, load.loaded_at)
+    ledger.note(load.loaded_at, ENDED, tables)
 
 
 def store_static(warehouse: Warehouse, static: StaticDimensions) -> None:

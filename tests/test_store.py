@@ -12,7 +12,7 @@ from strataloom.functions.tags import TagVocabulary
 from strataloom.operators import quality
 from strataloom.plans import flows
 from strataloom.schemas import RAW_MODEL, RAW_PAPER, RAW_POST, TABLES, table
-from strataloom.sources import staging, tables
+from strataloom.sources import ledger, staging, tables
 
 UTC = dt.timezone.utc
 FIRST, SECOND = dt.datetime(2024, 3, 1, 5, tzinfo=UTC), dt.datetime(2024, 3, 2, 5, tzinfo=UTC)
@@ -146,6 +146,50 @@ def test_a_load_touches_the_buckets_of_its_keys(spark, home):
         flows.commit(home, load(SECOND, post("s1", "y", "a1"), post("new", "z", "a1")))
 
 
+@pytest.mark.parametrize("dies_at", ["dds.bridge_models_tasks", "dds.dim_models", "dds.parties"])
+def test_an_unfinished_load_is_invisible(spark, home, monkeypatch, dies_at):
+    """A load killed between two tables is not seen, and repeating it completes it."""
+    flows.store_static(home, flows.StaticDimensions.generate(spark))
+    names = [n for n in TABLES if n.startswith("dds.") and ("model" in n or n == "dds.parties")]
+
+    def rows(frame_of):
+        return {n: sorted(str(r) for r in frame_of(n).select(*table(n).column_names).collect()) for n in names}
+
+    def seen():
+        return rows(lambda n: ledger.visible(home, n))
+
+    def everything():
+        return rows(home.frame)
+
+    load_models(spark, home, MODELS[0], FIRST)
+    before = seen()
+    assert before == everything()
+
+    written = []
+    for step in ("append", "commit_partitions", "commit_versions"):
+        whole = getattr(tables.Warehouse, step)
+
+        def broken(self, df, name, *rest, whole=whole):
+            if name == dies_at:
+                raise OSError("lost")
+            written.append(name)
+            return whole(self, df, name, *rest)
+
+        monkeypatch.setattr(tables.Warehouse, step, broken)
+    with pytest.raises(OSError, match="lost"):
+        load_models(spark, home, MODELS[1], SECOND)
+    monkeypatch.undo()
+    assert written and dies_at not in written
+    assert ledger.Ledger(home).unfinished() == [SECOND]
+    assert seen() == before
+    load_models(spark, home, MODELS[1], SECOND)
+    assert ledger.Ledger(home).unfinished() == []
+    assert {r.loaded_at.day for r in ledger.Ledger(home).finished().collect()} == {1, 2}
+    after = seen()
+    assert after == everything()
+    assert len(after["dds.dim_models"]) == 5 and len(after["dds.fact_models_metrics"]) == 6
+
+
 def test_posts_and_papers(spark, home):
     static = flows.StaticDimensions.generate(spark)
     flows.store_static(home, static)
