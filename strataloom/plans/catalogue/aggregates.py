@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from ...functions.numbers import exact, round_half_up
 from ...functions.text import modification_label
-from ...operators import dimensions, flatten, latest, parties, quality, ranking, sketches
+from ...operators import flatten, latest, parties, quality, ranking, sketches
 from ...sources import feed
 from ..given import Given
 from ..registry import as_double, query, stamp, stamp_sql
-from .joins import joined_stats
+from .joins import own_joined_stats
 
 # -- aggregates -------------------------------------------------------------
 
@@ -250,8 +250,7 @@ def modification_stats(g: Given) -> DataFrame:
     GROUP BY 1 ORDER BY cnt DESC, 1 LIMIT 10""")
 def join_modification_stats(g: Given) -> DataFrame:
     """Facts against the distinct dimension of a tag attribute, counted, ten greatest."""
-    models = g.models
-    return joined_stats(models, dimensions.distinct_dimension(models, "modification"))
+    return own_joined_stats(g.models)
 
 
 @query("""
