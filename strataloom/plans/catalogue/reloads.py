@@ -1,4 +1,4 @@
-"""Two loads of models through a fresh warehouse, and what is stored after the second."""
+"""Two loads of models or posts through a fresh warehouse, and what is stored after the second."""
 
 from __future__ import annotations
 
@@ -13,9 +13,9 @@ from ...schemas import TABLES, table
 from ...session import fresh_dir
 from ...sources.tables import Warehouse
 from .. import flows
-from ..given import MODEL_CUT, MODEL_LOAD, MODEL_ORDER, Given
+from ..given import MODEL_CUT, MODEL_LOAD, MODEL_ORDER, POST_CUT, POST_LOAD, Given
 from ..registry import query
-from .version_sql import MODEL_ORDER_SQL, MODEL_ROWS
+from .version_sql import MODEL_ORDER_SQL, MODEL_ROWS, POST_ROWS
 
 # What came before the cut is the first load, all the rest the second.
 _FIRST, _SECOND = (m.strftime("%Y-%m-%d %H:%M:%S.%f") for m in (MODEL_CUT, MODEL_LOAD))
@@ -37,12 +37,18 @@ _BUILT = (
 )
 
 
-def twice_loaded(g: Given) -> Warehouse:
-    """A warehouse of its own with both loads; the caller drops it."""
+def fresh_warehouse(g: Given) -> tuple[Warehouse, flows.StaticDimensions]:
+    """A warehouse of its own with the static dimensions; the caller drops it."""
     home = Warehouse(g.spark, fresh_dir(g.spark, "warehouse"), f"trial_{uuid.uuid4().hex[:8]}_")
     home.init_tables(["dds"])
     static = flows.StaticDimensions.generate(g.spark)
     flows.store_static(home, static)
+    return home, static
+
+
+def twice_loaded(g: Given) -> Warehouse:
+    """A warehouse with both loads of models."""
+    home, static = fresh_warehouse(g)
     before = F.col("loaded_at") < F.lit(MODEL_CUT)
     for part, moment in ((before, MODEL_CUT), (~before, MODEL_LOAD)):
         load = flows.models_load(
@@ -62,6 +68,18 @@ def _rules_sql(name: str) -> str:
     return " ".join(f"UNION ALL SELECT '{name}', '{rule}', '{column} 0'" for rule, column in rules)
 
 
+def _audits(home: Warehouse, names: tuple[str, ...]) -> list[DataFrame]:
+    """Every rule of the named tables with its violations."""
+    targets = {n: home.frame(n) for n in TABLES if n.startswith("dds.")}
+    return [
+        quality.audit(home.frame(n), table(n), targets).select(
+            F.col("table_name").alias("content"), F.col("rule").alias("key"),
+            F.concat_ws(" ", "column_name", "violations").alias("detail"),
+        )
+        for n in names
+    ]
+
+
 @query(
     f"""
     SELECT 'facts' AS content, model_id AS key, concat_ws(' ', downloads, likes,
@@ -91,14 +109,76 @@ def reload_models(g: Given) -> DataFrame:
         )
         for name in ("language", "dataset")
     ]
-    targets = {n: home.frame(n) for n in TABLES if n.startswith("dds.")}
-    audits = [
-        quality.audit(home.frame(n), table(n), targets).select(
-            F.col("table_name").alias("content"), F.col("rule").alias("key"),
-            F.concat_ws(" ", "column_name", "violations").alias("detail"),
+    shown = [facts, *bridges, *_audits(home, _BUILT)]
+    out = g.stored(reduce(DataFrame.unionByName, shown), "twice-loaded")
+    home.drop(["dds"])
+    return out
+
+
+_POST_FIRST, _POST_SECOND = (m.strftime("%Y-%m-%d %H:%M:%S.%f") for m in (POST_CUT, POST_LOAD))
+_POST_DAYS = ", ".join(m.strftime("%Y%m%d") for m in (POST_LOAD, POST_CUT))
+_POSTS_SENT = {
+    **POST_ROWS,
+    "sent": f"""
+        SELECT *, loaded_at >= TIMESTAMP '{_POST_FIRST}' AS again FROM post_rows
+        QUALIFY row_number() OVER (PARTITION BY slug, loaded_at >= TIMESTAMP '{_POST_FIRST}'
+          ORDER BY loaded_at DESC, position DESC) = 1""",
+    "keyed": f"""
+        SELECT s.*, md5(s.slug || CASE WHEN s.again AND f.hashdiff IS DISTINCT FROM s.hashdiff
+            THEN '|{_POST_SECOND}' ELSE '|{_POST_FIRST}' END) AS post_id,
+          if(s.again, {_POST_DAYS}) AS date_id
+        FROM sent s LEFT JOIN sent f ON f.slug = s.slug AND NOT f.again
+        WHERE s.author IS NOT NULL AND s.published_at >= TIMESTAMP '2000-01-01'""",
+    "reacted": """
+        SELECT slug, again, r.reaction AS reaction, trim(unnest(r.users)) AS name
+        FROM (SELECT slug, again, unnest(reactions) AS r FROM sent)""",
+    "early": """
+        SELECT author AS name FROM sent WHERE NOT again AND author IS NOT NULL
+        UNION SELECT name FROM reacted WHERE NOT again AND name <> ''""",
+}
+_BUILT_FROM_POSTS = ("dds.parties", "dds.dim_posts", "dds.fact_posts_metrics", "dds.fact_posts_reactions")
+
+
+@query(
+    f"""
+    SELECT 'facts' AS content, post_id AS key, concat_ws(' ', coalesce(total_unique_impressions, 0),
+      coalesce(num_comments, 0), 4 + position % 3, date_id, 0) AS detail FROM keyed
+    UNION ALL SELECT DISTINCT 'reactions', post_id, concat_ws(' ', md5(reaction),
+      md5(name || if(r.again AND name NOT IN (FROM early), '|{_POST_SECOND}', '|{_POST_FIRST}')), date_id, 0)
+    FROM keyed k JOIN reacted r ON r.slug = k.slug AND r.again = k.again WHERE name <> '' AND reaction <> '??'
+    UNION ALL SELECT 'rejects', slug, if(again, 2, 1) || if(author IS NULL, ' no_author', ' no_publish_date')
+    FROM sent WHERE author IS NULL OR published_at < TIMESTAMP '2000-01-01'
+    {' '.join(map(_rules_sql, _BUILT_FROM_POSTS))}""",
+    _POSTS_SENT,
+)
+def reload_posts(g: Given) -> DataFrame:
+    """Facts and reactions after a second load of posts, what either load has rejected, and
+    the rules of all tables the loads have built.
+
+    An unchanged post and a known user keep the version of the first load.
+    """
+    home, static = fresh_warehouse(g)
+    shown = []
+    before = F.col("loaded_at") < F.lit(POST_CUT)
+    for number, (part, moment) in enumerate(((before, POST_CUT), (~before, POST_LOAD)), 1):
+        load = flows.posts_load(
+            g.posts.where(part), home.live("dds.parties"), home.live("dds.dim_posts"), static,
+            moment, ["loaded_at", "position"],
+        )
+        flows.commit(home, load)
+        shown.append(load.rejects.select(
+            F.lit("rejects").alias("content"), "key", F.concat_ws(" ", F.lit(number), "reason").alias("detail")
+        ))
+    shown += [
+        home.frame(f"dds.fact_posts_{name}").select(
+            F.lit(content).alias("content"), F.col("post_id").alias("key"),
+            F.concat_ws(" ", *columns, "date_id", "time_id").alias("detail"),
+        )
+        for content, name, columns in (
+            ("facts", "metrics", ("total_unique_impressions", "num_comments", "num_reactions")),
+            ("reactions", "reactions", ("reaction_id", "user_id")),
         )
-        for n in _BUILT
     ]
-    out = g.stored(reduce(DataFrame.unionByName, [facts, *bridges, *audits]), "twice-loaded")
+    out = g.stored(reduce(DataFrame.unionByName, [*shown, *_audits(home, _BUILT_FROM_POSTS)]), "twice-loaded")
     home.drop(["dds"])
     return out
