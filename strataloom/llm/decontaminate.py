@@ -90,18 +90,18 @@ def contained(docs: DataFrame, key: str, benchmark: DataFrame, settings: Setting
     size = table.agg(F.sum(F.aggregate("parts", F.lit(0), lambda a, x: a + F.length(x)))).first()[0] or 0
     blocks = max(1, -(-size // settings.broadcast))
     texts = docs.select(F.col(key).alias("doc_key"), F.xxhash64("text").alias("tag"), "text")
-    found = None
+    near = None
     for b in range(blocks):
         part = table.where(F.pmod(F.xxhash64("parts"), F.lit(blocks)) == b)
-        hits = _contained_in(texts, part, settings)
-        found = hits if found is None else found.unionAll(hits)
-    return found.groupBy(F.col("doc_key").alias(key), "item_id", "item_shingles").agg(
+        some = _candidates(texts, part, settings)
+        near = some if near is None else near.unionAll(some)
+    return _verified(texts, stored(near, "contained-candidates")).groupBy(F.col("doc_key").alias(key), "item_id", "item_shingles").agg(
         F.max("shared").alias("shared")
     )
 
 
-def _contained_in(texts: DataFrame, part: DataFrame, settings: Settings) -> DataFrame:
-    """Candidates by hash, without the texts; then each on the text it was found in."""
+def _candidates(texts: DataFrame, part: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs of texts, by key and tag, and items of one block that share a sketch hash."""
     words = words_of(F.col("text"))
     # Exploded, the words are a value of the row; otherwise each shingle would split the text anew.
     split = texts.select("doc_key", "tag", F.explode(F.array(words)).alias("words"))
@@ -116,11 +116,14 @@ def _contained_in(texts: DataFrame, part: DataFrame, settings: Settings) -> Data
         & (room >= F.col("least"))
         & ((F.col("size") < settings.words) == F.col("short")),
     )
-    pairs = stored(
-        near.select(F.col("doc_key").alias("near_key"), F.col("tag").alias("near_tag"), "item_id", "n", "least", "parts")
-        .distinct(),
-        "contained-candidates",
-    )
+    return near.select(
+        F.col("doc_key").alias("near_key"), F.col("tag").alias("near_tag"), "item_id", "n", "least", "parts"
+    ).distinct()
+
+
+def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Candidates whose item is contained, counted as strings in the text they were found in."""
+    words = words_of(F.col("text"))
     line = F.concat(F.lit(" "), F.concat_ws(" ", words), F.lit(" "))
     held = F.filter("parts", lambda s: F.contains(F.col("line"), F.concat(F.lit(" "), s, F.lit(" "))))
     own = F.col("doc_key").eqNullSafe(F.col("near_key")) & (F.col("tag") == F.col("near_tag"))
