@@ -33,20 +33,28 @@ def upsert_latest(
     return kept.unionByName(fresh)
 
 
+def partition_values(incoming: DataFrame, partition: str) -> list:
+    """The partitions a batch writes to, one value each."""
+    return [r[0] for r in incoming.select(partition).distinct().collect()]
+
+
 def touched_partitions(
     base: DataFrame,
     incoming: DataFrame,
     key: Sequence[str],
     order: Sequence[str],
     partition: str,
+    values: Sequence | None = None,
 ) -> DataFrame:
     """New content of just those partitions that the batch writes to.
 
     Written with dynamic partition overwrite, so the cost follows the batch.  The
     values the batch touches are read first, one per partition, and passed to the
-    scan as constants: partitions without news are not read.
+    scan as constants: partitions without news are not read.  A caller that has read them
+    passes them as ``values``.
     """
-    values = [r[0] for r in incoming.select(partition).distinct().collect()]
+    if values is None:
+        values = partition_values(incoming, partition)
     return upsert_latest(base.where(F.col(partition).isin(values)), incoming, key, order)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
@@ -21,6 +21,7 @@ from ..functions.numbers import exact, likes_ratio, round_half_up
 from ..functions.text import default_label, modification_label
 from ..session import stored
 from .latest import latest_by_key
+from .partials import DayPartials
 from .ranking import percentile_by, ranked_top_k
 
 # Look-back of the marts in days and the leaderboard's length.
@@ -31,14 +32,22 @@ LEADERS = 20
 
 @dataclass(frozen=True)
 class DetailTables:
+    """With ``days`` the marts merge day partials and read no snapshot of the metrics."""
+
     models: DataFrame
     parties: DataFrame
     metrics: DataFrame
     dates: DataFrame
+    days: DayPartials | None = None
+
+    @property
+    def snapshots(self) -> DataFrame:
+        """All metrics, or the last of each model and day: enough for newest and distinct."""
+        return self.days.last_snapshots() if self.days else self.metrics
 
 
 def _recent_metrics(t: DetailTables, as_of: dt.date, days: int) -> DataFrame:
-    return t.metrics.where(recent_date_ids(F.col("date_id"), as_of, days))
+    return t.snapshots.where(recent_date_ids(F.col("date_id"), as_of, days))
 
 
 def with_day(metrics: DataFrame, dates: DataFrame) -> DataFrame:
@@ -81,6 +90,19 @@ def modification_pie(t: DetailTables, unique: DataFrame) -> DataFrame:
     return _models_per(models, "modification_type")
 
 
+def _snapshot_sums(t: DetailTables, last_only: bool, unique: DataFrame) -> DataFrame:
+    metrics = t.snapshots.join(unique.select("model_id"), "model_id", "left_semi")
+    if last_only:
+        metrics = latest_by_key(metrics, ["model_id"], ["date_id", "time_id"])
+    elif t.days:
+        return replace(t.days, models=t.days.models.join(unique.select("model_id"), "model_id", "left_semi")).per_model()
+    return metrics.groupBy("model_id").agg(
+        F.sum(exact(F.col("trending_score"))).alias("score"),
+        F.count("trending_score").alias("snapshots"),
+        F.sum("downloads").alias("downloads"),
+    )
+
+
 def owners_treemap(
     t: DetailTables, unique: DataFrame, snapshot: str = "all", resolve_current: bool = False
 ) -> DataFrame:
@@ -90,14 +112,7 @@ def owners_treemap(
     last one.  A model points at the party version it was loaded with;
     ``resolve_current`` reads the name's current version instead.
     """
-    metrics = t.metrics.join(unique.select("model_id"), "model_id", "left_semi")
-    if snapshot == "latest":
-        metrics = latest_by_key(metrics, ["model_id"], ["date_id", "time_id"])
-    per_model = metrics.groupBy("model_id").agg(
-        F.sum(exact(F.col("trending_score"))).alias("score"),
-        F.count("trending_score").alias("snapshots"),
-        F.sum("downloads").alias("downloads"),
-    )
+    per_model = _snapshot_sums(t, snapshot == "latest", unique)
     models = _recent_models(t, unique, "owner_id")
     owners = t.parties.select(F.col("id").alias("owner_id"), "name", "type")
     if resolve_current:
@@ -124,12 +139,10 @@ def owners_treemap(
     )
 
 
-def trending_line(t: DetailTables, as_of: dt.date, distinct_models: bool = False) -> DataFrame:
-    """Mean, exact median and snapshots per day over the last month.
-
-    ``models_count`` counts snapshots; ``distinct_models`` adds the number of
-    different versions, at the price of a shuffle of the month's metrics.
-    """
+def _recent_lines(t: DetailTables, as_of: dt.date, distinct_models: bool) -> DataFrame:
+    if t.days:
+        recent = t.days.lines.where(recent_date_ids(F.col("date_id"), as_of, TREND_DAYS))
+        return recent.withColumnRenamed("snapshots", "models_count")
     metrics = _recent_metrics(t, as_of, TREND_DAYS)
     extra = [F.count_distinct("model_id").alias("distinct_models")] if distinct_models else []
     per_day = metrics.groupBy("date_id").agg(
@@ -141,7 +154,17 @@ def trending_line(t: DetailTables, as_of: dt.date, distinct_models: bool = False
     median = percentile_by(
         metrics, ["date_id"], "trending_score", 0.5, "median", few_groups=True
     )
-    return with_day(per_day.join(median, "date_id"), t.dates).select(
+    return per_day.join(median, "date_id")
+
+
+def trending_line(t: DetailTables, as_of: dt.date, distinct_models: bool = False) -> DataFrame:
+    """Mean, exact median and snapshots per day over the last month.
+
+    ``models_count`` counts snapshots; ``distinct_models`` adds the number of
+    different versions, at the price of a shuffle of the month's metrics.
+    """
+    lines = _recent_lines(t, as_of, distinct_models)
+    return with_day(lines, t.dates).select(
         F.col("date").alias("trend_date"),
         round_half_up(F.col("score") / F.col("scored"), 3).alias("avg_trending_score"),
         round_half_up(F.col("median"), 3).alias("median_trending_score"),

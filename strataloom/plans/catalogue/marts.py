@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ...functions.moments import date_id_of, recent_date_ids
 from ...operators import marts
 from ...session import fresh_dir
+from ...sources.days import DayStore
 from ..given import AS_OF, Given
 from ..registry import as_double, query
 
@@ -144,3 +149,43 @@ def mart_refresh_all(g: Given) -> DataFrame:
     for more in counts[1:]:
         total = total.unionByName(more)
     return total
+
+
+@query(
+    f"""
+    SELECT 'line' AS mart, strftime(day, '%Y-%m-%d') AS key,
+      concat_ws(' ', CAST({_MEAN} AS DECIMAL(24, 3)),
+        CAST(percentile_cont(0.5) WITHIN GROUP (ORDER BY trending_score) AS DECIMAL(24, 3)),
+        count(*), count(DISTINCT model_id)) AS detail
+    FROM dds_metrics WHERE day BETWEEN DATE '{AS_OF}' - 30 AND DATE '{AS_OF}' GROUP BY 2
+    UNION ALL SELECT 'leader', m.name, concat_ws(' ', rank() OVER (ORDER BY downloads DESC), downloads, likes)
+    FROM (SELECT m.name AS name, downloads, likes FROM latest JOIN dds_models m ON model_id = m.id
+      JOIN dds_parties p ON owner_id = p.id
+      WHERE is_current AND downloads > 0 ORDER BY downloads DESC, m.name LIMIT 20) AS m""",
+    _LEADERBOARD,
+)
+def mart_by_day_partials(g: Given) -> DataFrame:
+    """Trend and leaderboard merged from stored days, after a second load.
+
+    The first load lacks the later half of each of the month's last ten days, which the
+    second brings; only those ten days are computed anew.
+    """
+    store = DayStore(g.spark, fresh_dir(g.spark, "days"), "long")
+    month = g.detail.metrics.where(recent_date_ids(F.col("date_id"), AS_OF, marts.TREND_DAYS))
+    late = recent_date_ids(F.col("date_id"), AS_OF, 9)
+    store.replace_days(month.where(~late | (F.col("time_id") <= 3)), _days(marts.TREND_DAYS))
+    store.replace_days(month, _days(9))
+    t = replace(g.detail, days=store.read())
+    line = marts.trending_line(t, AS_OF, distinct_models=True)
+    board = marts.leaderboard(t, AS_OF)
+    return line.select(
+        F.lit("line").alias("mart"), F.date_format("trend_date", "yyyy-MM-dd").alias("key"),
+        F.concat_ws(" ", "avg_trending_score", "median_trending_score", "models_count", "distinct_models").alias("detail"),
+    ).unionByName(board.select(
+        F.lit("leader").alias("mart"), F.col("model_name").alias("key"),
+        F.concat_ws(" ", "rank_downloads", "latest_downloads_30d", "latest_likes_30d").alias("detail"),
+    ))
+
+
+def _days(back: int) -> list[int]:
+    return [date_id_of(AS_OF - dt.timedelta(days=d)) for d in range(back + 1)]

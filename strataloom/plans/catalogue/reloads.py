@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ...operators import quality
+from ...operators import marts, quality
 from ...schemas import TABLES, table
 from ...session import fresh_dir
+from ...sources.days import FACTS, DayStore
 from ...sources.tables import Warehouse
 from .. import flows
 from ..given import MODEL_CUT, MODEL_LOAD, MODEL_ORDER, POST_CUT, POST_LOAD, Given
@@ -46,8 +49,8 @@ def fresh_warehouse(g: Given) -> tuple[Warehouse, flows.StaticDimensions]:
     return home, static
 
 
-def twice_loaded(g: Given) -> Warehouse:
-    """A warehouse with both loads of models."""
+def twice_loaded(g: Given, after_load: Callable[[Warehouse], object] = lambda home: None) -> Warehouse:
+    """A warehouse with both loads of models; ``after_load`` runs after each of them."""
     home, static = fresh_warehouse(g)
     before = F.col("loaded_at") < F.lit(MODEL_CUT)
     for part, moment in ((before, MODEL_CUT), (~before, MODEL_LOAD)):
@@ -56,6 +59,7 @@ def twice_loaded(g: Given) -> Warehouse:
             g.known_users, static, moment, MODEL_ORDER,
         )
         flows.commit(home, load)
+        after_load(home)
     return home
 
 
@@ -115,6 +119,81 @@ def reload_models(g: Given) -> DataFrame:
     return out
 
 
+# Most models are seen last in the last weeks of the feed.
+LAST_DAY = dt.date(2006, 10, 25)
+_SCORE = "CAST(coalesce(trending_score, 0) AS DECIMAL(28, 6))"
+_WINDOW = f"CAST(loaded_at AS DATE) BETWEEN DATE '{LAST_DAY}' - %d AND DATE '{LAST_DAY}'"
+_LOADED_MARTS = {
+    **_SENT,
+    "live": """
+        SELECT * FROM keyed QUALIFY row_number() OVER (PARTITION BY name ORDER BY again DESC) = 1""",
+    "recent": f"""
+        SELECT * FROM live WHERE model_id IN (SELECT model_id FROM keyed WHERE {_WINDOW % 7})""",
+    "newest": f"""
+        SELECT * FROM keyed WHERE {_WINDOW % 30}
+        QUALIFY row_number() OVER (PARTITION BY model_id ORDER BY loaded_at DESC) = 1""",
+    "leaders": """
+        SELECT live.name, n.downloads, n.likes FROM newest n JOIN live USING (model_id)
+        WHERE n.downloads > 0 ORDER BY n.downloads DESC, live.name LIMIT 20""",
+}
+
+
+@query(
+    f"""
+    SELECT 'unique' AS content, model_id AS key, '' AS detail FROM recent
+    UNION ALL SELECT 'tags', coalesce(pipeline_tag, 'no_tag'), CAST(count(*) AS VARCHAR) FROM recent GROUP BY 2
+    UNION ALL SELECT 'licenses', coalesce(license, 'no_license'), CAST(count(*) AS VARCHAR) FROM recent GROUP BY 2
+    UNION ALL SELECT 'modifications', coalesce(nullif(trim(upper(modification)), ''), 'ORIGINAL'),
+      CAST(count(*) AS VARCHAR) FROM recent GROUP BY 2
+    UNION ALL SELECT 'owners', r.owner, concat_ws(' ', count(DISTINCT r.model_id),
+      CAST(CAST(sum({_SCORE.replace("trending", "k.trending")}) / count(*) AS DECIMAL(38, 10)) AS DECIMAL(24, 3)),
+      CAST(sum(k.downloads) AS BIGINT))
+    FROM recent r JOIN keyed k USING (model_id) GROUP BY 2
+    UNION ALL SELECT 'days', strftime(loaded_at, '%Y-%m-%d'), concat_ws(' ',
+      CAST(CAST(sum({_SCORE}) / count(*) AS DECIMAL(38, 10)) AS DECIMAL(24, 3)),
+      CAST(percentile_cont(0.5) WITHIN GROUP (ORDER BY coalesce(trending_score, 0)) AS DECIMAL(24, 3)), count(*))
+    FROM keyed WHERE {_WINDOW % 30} GROUP BY 2
+    UNION ALL SELECT 'leaders', name, concat_ws(' ', rank() OVER (ORDER BY downloads DESC), downloads, likes)
+    FROM leaders""",
+    _LOADED_MARTS,
+)
+def reload_marts(g: Given) -> DataFrame:
+    """The seven marts over the tables that two loads of models have built.
+
+    After each load the day partials of the days in its ledger note are computed anew, and
+    the marts merge them with the dimensions as stored.
+    """
+    store = DayStore(g.spark, fresh_dir(g.spark, "days"))
+    home = twice_loaded(g, store.update)
+    t = marts.DetailTables(
+        home.frame("dds.dim_models"), home.frame("dds.parties"), home.frame(FACTS),
+        home.frame("dds.dim_date"), store.read(),
+    )
+    unique = g.stored(marts.unique_recent(t, LAST_DAY), "unique")
+    shown = [
+        ("unique", unique, "model_id", (F.lit(""),)),
+        ("tags", marts.tag_pie(t, unique), "pipeline_tag", ("models_count",)),
+        ("licenses", marts.license_histogram(t, unique), "license", ("models_count",)),
+        ("modifications", marts.modification_pie(t, unique), "modification_type", ("models_count",)),
+        ("owners", marts.owners_treemap(t, unique), "owner_name",
+         ("models_count", "avg_trending_score", "total_downloads")),
+        ("days", marts.trending_line(t, LAST_DAY), F.date_format("trend_date", "yyyy-MM-dd"),
+         ("avg_trending_score", "median_trending_score", "models_count")),
+        ("leaders", marts.leaderboard(t, LAST_DAY), "model_name",
+         ("rank_downloads", "latest_downloads_30d", "latest_likes_30d")),
+    ]
+    rows = [
+        mart.select(
+            F.lit(content).alias("content"), (F.col(key) if isinstance(key, str) else key).alias("key"),
+            F.concat_ws(" ", *detail).alias("detail"),
+        )
+        for content, mart, key, detail in shown
+    ]
+    out = g.stored(reduce(DataFrame.unionByName, rows), "loaded-marts")
+    home.drop(["dds"])
+    return out
+
+
 _POST_FIRST, _POST_SECOND = (m.strftime("%Y-%m-%d %H:%M:%S.%f") for m in (POST_CUT, POST_LOAD))
 _POST_DAYS = ", ".join(m.strftime("%Y%m%d") for m in (POST_LOAD, POST_CUT))
 _POSTS_SENT = {

@@ -25,7 +25,7 @@ from ..functions.text import strip_to_null
 from ..operators import bridges, dimensions
 from ..operators.dimensions import insert_ignore, new_rows
 from ..operators.flatten import distinct_elements, explode_reactions, reaction_total
-from ..operators.latest import latest_by_key, touched_partitions
+from ..operators.latest import latest_by_key, partition_values, touched_partitions
 from ..operators.lookups import reasons, split_rejects, with_calendar, with_code_id, with_party_id
 from ..operators.parties import one_per_name, owner_types, paper_parties, post_parties
 from ..operators.versions import VersionChange, apply_versions
@@ -283,11 +283,13 @@ def commit(warehouse: Warehouse, load: Load, writers: int = 4) -> None:
     """
     ledger, tables = Ledger(warehouse), [*load.facts, *load.rows, *load.versions]
     ledger.note(load.loaded_at, BEGUN, tables)
+    days: dict[str, list[int]] = {}
 
     def store_fact(name: str) -> None:
         key = table(name).key
+        days[name] = partition_values(load.facts[name], "date_id")
         touched = touched_partitions(
-            warehouse.frame(name), load.facts[name], key, key, "date_id"
+            warehouse.frame(name), load.facts[name], key, key, "date_id", days[name]
         )
         warehouse.commit_partitions(touched, name)
 
@@ -303,7 +305,7 @@ def commit(warehouse: Warehouse, load: Load, writers: int = 4) -> None:
     # The party versions are read by the other dimensions, so they go last.
     for name in sorted(load.versions, key=lambda n: n == "dds.parties"):
         warehouse.commit_versions(load.versions[name], name, load.loaded_at)
-    ledger.note(load.loaded_at, ENDED, tables)
+    ledger.note(load.loaded_at, ENDED, tables, set().union(*days.values()))
 
 
 def store_static(warehouse: Warehouse, static: StaticDimensions) -> None:

@@ -22,7 +22,7 @@ from ..schemas import table
 from .tables import Warehouse
 
 BEGUN, ENDED = "begun", "ended"
-COLUMNS = "loaded_at timestamp, state string, tables array<string>, noted_at timestamp"
+COLUMNS = "loaded_at timestamp, state string, tables array<string>, noted_at timestamp, days array<int>"
 
 
 @dataclass(frozen=True)
@@ -35,8 +35,9 @@ class Ledger:
     def path(self) -> str:
         return f"{self.warehouse.root}/_loads"
 
-    def note(self, loaded_at: dt.datetime, state: str, tables: Iterable[str]) -> None:
-        row = (loaded_at, state, sorted(tables), dt.datetime.now(dt.timezone.utc))
+    def note(self, loaded_at: dt.datetime, state: str, tables: Iterable[str], days: Iterable[int] = ()) -> None:
+        """``days`` are the days whose facts the load has written."""
+        row = (loaded_at, state, sorted(tables), dt.datetime.now(dt.timezone.utc), sorted(days))
         note = self.warehouse.spark.createDataFrame([row], COLUMNS)
         note.coalesce(1).write.mode("append").parquet(self.path)
 
@@ -49,6 +50,11 @@ class Ledger:
         """``loaded_at, tables``: loads that are whole."""
         return self.notes().where(F.col("state") == ENDED).select("loaded_at", "tables").distinct()
 
+    def changed_days(self, name: str) -> DataFrame:
+        """``loaded_at, noted_at, days`` of every ended run of a load that wrote a table."""
+        ended = self.notes().where((F.col("state") == ENDED) & F.array_contains("tables", name))
+        return ended.select("loaded_at", "noted_at", "days")
+
     def unfinished(self, name: str | None = None) -> list[dt.datetime]:
         """Loads that have begun and not ended, of one table or of any."""
         notes = self.notes()

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from strataloom.functions.records import project_models, project_papers, project_posts
 from strataloom.functions.tags import TagVocabulary
-from strataloom.operators import quality
+from strataloom.operators import marts, quality
 from strataloom.plans import flows
 from strataloom.schemas import RAW_MODEL, RAW_PAPER, RAW_POST, TABLES, table
-from strataloom.sources import ledger, staging, tables
+from strataloom.sources import days, ledger, staging, tables
 
 UTC = dt.timezone.utc
 FIRST, SECOND = dt.datetime(2024, 3, 1, 5, tzinfo=UTC), dt.datetime(2024, 3, 2, 5, tzinfo=UTC)
@@ -278,3 +278,51 @@ def test_gate(spark):
     quality.gate(quality.coverage(quality.compare_names({"d": names}, {"d": names.distinct()})))
     with pytest.raises(quality.CoverageError, match="d: 1 missing, e.g. b"):
         quality.gate(quality.coverage(quality.compare_names({"d": names}, {"d": some})))
+
+
+def test_day_partials_follow_the_ledger(spark, home, tmp_path):
+    """An update computes the days of ended loads only, and the marts equal a full computation."""
+    flows.store_static(home, flows.StaticDimensions.generate(spark))
+    store = days.DayStore(spark, str(tmp_path / "days"))
+    assert store.update(home) == []
+    load_models(spark, home, MODELS[0], FIRST)
+    assert store.update(home) == [20240301]
+    assert store.update(home) == []
+    before = sorted(map(str, store.read().models.where("date_id = 20240301").collect()))
+    of_first = lambda: {f for f in store.read().models.inputFiles() if "date_id=20240301" in f}
+    files = of_first()
+    load_models(spark, home, MODELS[1], SECOND)
+    assert store.update(home) == [20240302]
+    assert sorted(map(str, store.read().models.where("date_id = 20240301").collect())) == before
+    assert files and of_first() == files
+
+    # A later hour of a known day: that day is computed anew with both snapshots.
+    later = SECOND + dt.timedelta(hours=3)
+    load_models(spark, home, [model("org/a", downloads=9, trending_score=4.25)], later)
+    assert store.update(home) == [20240302]
+    frames = [home.frame(f"dds.{n}") for n in ("dim_models", "parties", "fact_models_metrics", "dim_date")]
+    whole, merged = marts.DetailTables(*frames), marts.DetailTables(*frames, store.read())
+    as_of = SECOND.date()
+    seen = lambda df: sorted(map(str, df.collect()))
+    for t in (whole, merged):
+        assert [r.models_count for r in marts.trending_line(t, as_of).orderBy("trend_date").collect()] == [3, 4]
+    for build in (
+        lambda t: marts.unique_recent(t, as_of),
+        lambda t: marts.trending_line(t, as_of, distinct_models=True),
+        lambda t: marts.leaderboard(t, as_of),
+        lambda t: marts.owners_treemap(t, marts.unique_recent(t, as_of)),
+        lambda t: marts.owners_treemap(t, marts.unique_recent(t, as_of), snapshot="latest"),
+    ):
+        assert seen(build(merged)) == seen(build(whole))
+
+
+def test_a_day_that_lost_its_rows(spark, tmp_path):
+    store = days.DayStore(spark, str(tmp_path))
+    ddl = "model_id string, downloads long, likes long, trending_score double, date_id int, time_id int"
+    rows = [("a", 1, 1, 1.0, 20240301, 1), ("a", 2, 1, None, 20240302, 1), ("a", None, 1, float(3), 20240302, 2)]
+    store.replace_days(spark.createDataFrame(rows, ddl), [20240301, 20240302])
+    assert [(r.date_id, r.downloads, r.scored, r.last.time_id) for r in store.read().models.orderBy("date_id").collect()] == [
+        (20240301, 1, 1, 1), (20240302, 2, 1, 2)]
+    store.replace_days(spark.createDataFrame([], ddl), [20240302])
+    assert [r.date_id for r in store.read().lines.collect()] == [20240301]
+    assert [r.date_id for r in store.read().models.collect()] == [20240301]
