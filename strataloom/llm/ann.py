@@ -4,7 +4,8 @@ On a bounded sample of vectors a neighbour graph is built and cut into partition
 balanced size that keep neighbours together.  A small network learns to name the
 partitions in which a vector's neighbours lie.  It then assigns every vector of the table
 to its most probable partition, and routes a query to the several most probable ones,
-where all vectors are ranked by exact inner products.
+where all vectors are ranked by exact inner products.  The list of partitions of a query goes
+on until they hold as many vectors as it asks for, however uneven the partitions are.
 
 A partition is laid out in slices of bounded size, and the queries routed to it in blocks,
 so that a partition that holds most vectors (many copies of one vector, say) is searched
@@ -145,11 +146,14 @@ def fit_router(x: np.ndarray, settings: Settings = Settings()) -> Router:
     return router
 
 
-def routed(p: np.ndarray, settings: Settings) -> list[list[int]]:
-    """The most probable partitions of each row, until ``mass`` is reached."""
+def routed(p: np.ndarray, settings: Settings, held: np.ndarray, wanted: int) -> list[list[int]]:
+    """The most probable partitions of each row, until ``mass`` is reached and they hold
+    ``wanted`` vectors or all there are; ``held`` is the number in each partition."""
     order = np.argsort(-p, axis=1, kind="stable")
     before = np.cumsum(np.take_along_axis(p, order, axis=1), axis=1)
-    need = 1 + (before < settings.mass).sum(axis=1)
+    within = np.cumsum(held[order], axis=1)
+    short = within < min(wanted, int(held.sum()))
+    need = 1 + np.maximum((before < settings.mass).sum(axis=1), short.sum(axis=1))
     return [o[: max(settings.least, k)].tolist() for o, k in zip(order, need)]
 
 
@@ -176,7 +180,7 @@ def best_in_cell(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.Dat
 
 
 def search(queries: DataFrame, vectors: DataFrame, k: int, settings: Settings = Settings()) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: up to ``k`` nearest of each query.
+    """``(query_id, rank, vec_id, score)``: ``k`` nearest of each query, all if fewer.
 
     Both tables have vec_id and embedding; a row is never its own neighbour.  Vectors that
     are NULL, zero, not finite, without vec_id, or of another length than most take no
@@ -203,14 +207,18 @@ def search(queries: DataFrame, vectors: DataFrame, k: int, settings: Settings =
                 p = shared.value.probabilities(np.stack(b.vector.to_numpy()).astype(np.float64))
                 yield b.assign(part=p.argmax(axis=1).astype(np.int32))
 
+    schema = f"vec_id long, vector {base.schema['vector'].dataType.simpleString()}, part int"
+    index = stored(base.mapInPandas(assign, schema), "index")
+    held = np.zeros(len(router.weights[3]), dtype=np.int64)
+    for row in index.groupBy("part").count().collect():  # a row per partition
+        held[row["part"]] = row["count"]
+
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
                 p = shared.value.probabilities(np.stack(b.vector.to_numpy()).astype(np.float64))
-                yield b.assign(part=routed(p, settings)).explode("part").astype({"part": np.int32})
+                yield b.assign(part=routed(p, settings, held, k + 1)).explode("part").astype({"part": np.int32})
 
-    schema = f"vec_id long, vector {base.schema['vector'].dataType.simpleString()}, part int"
-    index = stored(base.mapInPandas(assign, schema), "index")
     asked = stored(one(keep(queries)).mapInPandas(route, schema), "routed")
     # A row per partition: how many slices of vectors and blocks of queries it has.
     cells = lambda df, name: df.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / settings.cell).cast("int").alias(name))

@@ -21,13 +21,15 @@ CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample``: labelled URLs to fit on, on average; ``buckets``: hashed suffixes."""
+    """``sample``: labelled URLs to fit on, on average; ``buckets``: hashed suffixes;
+    ``folds``: parts of the URLs, each described by the labels of the other parts."""
 
     sample: int = 20_000
     buckets: int = 4_096
     trees: int = 20
     depth: int = 4
     prior: float = 4.0
+    folds: int = 5
 
 
 def parts_of(url: Column) -> tuple[Column, Column, Column]:
@@ -70,6 +72,34 @@ def lexical(url: Column, host: Column, path: Column, query: Column) -> dict[str,
     }
 
 
+def suffix_statistics(seen: DataFrame, suffix: str, base: float, settings: Settings) -> DataFrame:
+    """``suffix, fold`` with the pages of a suffix and its smoothed share of blocked ones.
+
+    A labelled URL belongs to a fold by its hash and is described by the labels of the other
+    folds, so neither its own label nor that of a copy is in its features; fold -1, that of
+    the URLs to judge, sees all labels.  At most buckets times (folds + 1) rows; pages are
+    counted before they are shuffled.
+    """
+    blocked = (F.col("said") == BLOCK).cast("double")
+    counted = stored(
+        seen.groupBy(suffix, "fold").agg(
+            F.count(F.lit(1)).alias("pages"),
+            F.coalesce(F.sum(blocked), F.lit(0.0)).alias("b"), F.count("said").alias("n"),
+        ),
+        "suffixes",
+    )
+    whole = counted.groupBy(suffix).agg(
+        F.sum("pages").alias("pages"), F.sum("b").alias("all_b"), F.sum("n").alias("all_n")
+    )
+    # What a fold must not see: its own labels, nothing for the URLs to judge.
+    own = counted.select(suffix, "fold", F.when(F.col("fold") >= 0, F.col("b")).otherwise(0.0).alias("b"),
+                         F.when(F.col("fold") >= 0, F.col("n")).otherwise(0).alias("n"))
+    share = (F.col("all_b") - F.col("b") + settings.prior * base) / (F.col("all_n") - F.col("n") + settings.prior)
+    return own.join(whole, suffix).select(
+        suffix, "fold", F.log1p("pages").alias(f"f_{suffix}_pages"), share.alias(f"f_{suffix}_blocked")
+    )
+
+
 def judge(pages: DataFrame, rules: list[tuple[str, str]], settings: Settings = Settings()) -> DataFrame:
     """``(page_id, host, path, rule, verdict)`` of every page.
 
@@ -92,6 +122,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], settings: Settings = S
         F.pmod(F.xxhash64(F.element_at(labels, 1)), F.lit(settings.buckets)).alias("s1"),
         F.pmod(F.xxhash64(F.array_join(labels, ".")), F.lit(settings.buckets)).alias("s2"),
     )
+    fold = F.pmod(F.xxhash64(F.lit("fold"), F.col("url")), F.lit(settings.folds)).cast("int")
+    seen = seen.withColumn("fold", F.when(F.col("said").isNull(), F.lit(-1)).otherwise(fold))
     blocked = (F.col("said") == BLOCK).cast("double")
     totals = seen.where("said IS NOT NULL").agg(
         F.count(F.lit(1)).alias("n"), F.sum(blocked).alias("b")
@@ -100,20 +132,12 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], settings: Settings = S
     if not 0 < b < n:
         only = F.lit(BLOCK if n and b == n else ALLOW)
         return seen.select("page_id", "host", "path", "rule", F.coalesce("said", only).alias("verdict"))
-    features = seen.select("page_id", "host", "path", "rule", "said", "url", "s1", "s2",
+    features = seen.select("page_id", "host", "path", "rule", "said", "url", "s1", "s2", "fold",
         *(c.cast("double").alias(k) for k, c in lexical(F.col("url"), F.col("host"), F.col("path"), F.col("query")).items()))
     names = [c for c in features.columns if c.startswith("f_")]
     for s in ("s1", "s2"):
-        # At most ``buckets`` rows; pages are counted before they are shuffled.
-        stats = stored(
-            seen.groupBy(s).agg(
-                F.log1p(F.count(F.lit(1))).alias(f"f_{s}_pages"),
-                ((F.coalesce(F.sum(blocked), F.lit(0.0)) + settings.prior * b / n)
-                 / (F.count("said") + settings.prior)).alias(f"f_{s}_blocked"),
-            ),
-            "suffixes",
-        )
-        features = features.join(F.broadcast(stats), s)
+        stats = stored(suffix_statistics(seen, s, b / n, settings), "suffix-statistics")
+        features = features.join(F.broadcast(stats), [s, "fold"])
         names += [f"f_{s}_pages", f"f_{s}_blocked"]
     vector = VectorAssembler(inputCols=names, outputCol="features")
     # A repeated row is drawn once, so the sample keeps its bound.

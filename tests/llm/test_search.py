@@ -143,6 +143,30 @@ def test_recall_of_learned_partitions(spark):
     assert np.mean([len(set(r.v) & {i for i, _ in want[r.query_id]}) / 20 for r in got]) >= 0.9 and len(got) == len(want)
 
 
+def test_routing_lists_hold_enough():
+    """However sure the router is, the lists hold the wanted vectors, or all there are."""
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        p = rng.dirichlet(np.full(9, 0.05), size=30)
+        held = rng.integers(0, 6, 9) * rng.integers(0, 2, 9)
+        for parts in ann.routed(p, ann.Settings(mass=0.01, least=1), held, 12):
+            assert held[parts].sum() >= min(12, held.sum())
+            if held[parts[:-1]].sum() >= min(12, held.sum()):
+                assert len(parts) == 1
+
+
+@pytest.mark.parametrize("n", [21, 40, 173])
+def test_every_query_gets_its_neighbours(spark, n):
+    """With one partition asked for at least, small and lopsided tables still give k rows."""
+    rng = np.random.default_rng(n)
+    x = np.concatenate([rng.normal(size=(n - n // 3, 8)), np.tile(rng.normal(size=8), (n // 3, 1))])
+    df = frame(spark, [(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    out = ann.search(df, df, 20, ann.Settings(mass=0.01, least=1)).collect()
+    assert len(out) == n * min(20, n - 1) and all(r.query_id != r.vec_id for r in out)
+    true = {(i, j): float((x[i] * x[j]).sum()) for i in range(n) for j in range(n)}
+    assert all(r.score == pytest.approx(true[r.query_id, r.vec_id], rel=1e-12) for r in out)
+
+
 def test_few_or_no_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     few = frame(spark, [(0, [1.0, 0.0]), (20, [0.5, 0.5]), (3, [1.0, 1.0])], schema)
@@ -246,6 +270,20 @@ def test_urls_learned_from_rules(spark):
     assert np.mean([(r.verdict == "block") == bool(r.page_id % 2) for r in out]) > 0.9
 
 
+def test_suffix_statistics_leave_own_labels_out(spark):
+    """Next to a row-by-row version; a URL's features do not change with its label."""
+    rng = random.Random(9)
+    rows = [(rng.randint(0, 5), rng.choice(["allow", "block", "block", None]), rng.randint(0, 4)) for _ in range(400)]
+    rows = [(s, said, fold if said else -1) for s, said, fold in rows] + [(9, "block", 2)]
+    got = urls.suffix_statistics(frame(spark, rows, "s1 int, said string, fold int"), "s1", 0.25, urls.Settings()).collect()
+    assert {(r.s1, r.fold) for r in got} == {(s, fold) for s, _, fold in rows} and len(got) == len({(s, f) for s, _, f in rows})
+    for r in got:
+        others = [said for s, said, fold in rows if s == r.s1 and said and fold != r.fold]
+        assert r.f_s1_blocked == pytest.approx((others.count("block") + 4 * 0.25) / (len(others) + 4))
+        assert r.f_s1_pages == pytest.approx(np.log1p(sum(s == r.s1 for s, _, _ in rows)))
+    assert [r.f_s1_blocked for r in got if r.s1 == 9] == [0.25]
+
+
 @pytest.mark.parametrize("rows, verdict", [([], None), ([(1, "http://x.net/")], "allow"), ([(1, "http://x.net/"), (2, "http://x.com/de/")], "block")])
 def test_urls_without_two_classes(spark, rows, verdict):
     out = urls.judge(frame(spark, rows, "page_id long, url string"), URL_RULES).collect()
