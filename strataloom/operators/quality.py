@@ -109,7 +109,7 @@ def with_volume(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
 def audit(df: DataFrame, spec: Table, targets: Mapping[str, DataFrame]) -> DataFrame:
     """Violations per rule of one table; no rule is skipped, zero counts are listed."""
     checks = [_row_rules(df, spec)]
-    checks += [_duplicates(df, [*cols], rule) for cols, rule in _unique_rules(spec)]
+    checks += [_duplicates(df, [*cols], rule) for cols, rule in unique_rules(spec)]
     checks += [
         _orphans(df, column, targets[target])
         for column, target in spec.refs.items()
@@ -120,7 +120,7 @@ def audit(df: DataFrame, spec: Table, targets: Mapping[str, DataFrame]) -> DataF
     )
 
 
-def _unique_rules(spec: Table) -> list[tuple[Sequence[str], str]]:
+def unique_rules(spec: Table) -> list[tuple[Sequence[str], str]]:
     keyed = [(spec.key, "key")] if spec.key else []
     return keyed + [([column], "unique") for column in spec.unique]
 

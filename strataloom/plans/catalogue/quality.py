@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.text import strip_to_null
-from ...operators import parties, quality
+from ...operators import audits, parties, quality
 from ...operators.flatten import unnest
-from ...schemas import Table
+from ...operators.dimensions import dim_time
+from ...operators.latest import partition_values
+from ...schemas import Table, table
 from ..given import Given
 from ..registry import query
 from .joins import post_versions
@@ -176,6 +178,50 @@ def dq_constraints(g: Given) -> DataFrame:
     return quality.audit(g.table("orders"), _ORDERS, {"given.nation": nations})
 
 
+_FACTS = table("dds.fact_models_metrics")
+
+
+@query(
+    " UNION ALL ".join(
+        [
+            f"SELECT '{_FACTS.name}' AS table_name, 'not_null' AS rule, '{c}' AS column_name, "
+            f"count(*) FILTER ({c} IS NULL) AS violations FROM dds_metrics"
+            for c in _FACTS.required
+        ]
+        + [
+            f"""SELECT '{_FACTS.name}', 'key', 'model_id,date_id,time_id', count(*) FROM (
+              SELECT 1 FROM dds_metrics GROUP BY model_id, date_id, time_id HAVING count(*) > 1)""",
+            f"""SELECT '{_FACTS.name}', 'reference', 'model_id', count(*) FROM dds_metrics
+              WHERE model_id NOT IN (SELECT p_partkey FROM part WHERE p_size < 45)""",
+            f"""SELECT '{_FACTS.name}', 'reference', 'date_id', count(*) FROM dds_metrics
+              WHERE day NOT BETWEEN DATE '2000-01-01' AND DATE '2030-12-31'""",
+            f"SELECT '{_FACTS.name}', 'reference', 'time_id', count(*) FROM dds_metrics WHERE time_id NOT BETWEEN 0 AND 23",
+        ]
+    )
+)
+def dq_load_audit(g: Given) -> DataFrame:
+    """The audit of all facts after three loads, each of which was audited alone.
+
+    A load brings further hours of its days and further models; some keys repeat and some
+    models never come, so rules are broken, and references broken at first are cured.
+    """
+    metrics, models = g.detail.metrics, g.table("part")
+    none = g.spark.createDataFrame([], audits.COUNTS), g.spark.createDataFrame([], audits.ORPHANS)
+    state, before, targets = audits.PartAudit(*none), 0, {}
+    for until, sizes in ((2, 20), (5, 35), (24, 45)):
+        targets = {
+            "dds.dim_models": models.where(F.col("p_size") < sizes).select(F.col("p_partkey").alias("id")),
+            "dds.dim_date": g.dates, "dds.dim_time": dim_time(g.spark),
+        }
+        loaded = (F.col("time_id") > before) & (F.col("time_id") <= until)
+        days = partition_values(metrics.where(loaded), "date_id")
+        touched = metrics.where((F.col("time_id") <= until) & F.col("date_id").isin(*days))
+        after = audits.carried(state, audits.audit_parts(touched, _FACTS, targets, "date_id"), days)
+        state = audits.PartAudit(g.stored(after.counts, "audit-counts"), g.stored(after.orphans, "audit-orphans"))
+        before = until
+    return audits.totals(state, _FACTS, targets)
+
+
 @query("SELECT 'posts' AS table_name, 0::BIGINT AS conflicts, count(DISTINCT slug) AS keys FROM ods_posts")
 def dq_one_current(g: Given) -> DataFrame:
     """No key of a versioned dimension has two live versions."""

@@ -12,7 +12,7 @@ from strataloom.functions.tags import TagVocabulary
 from strataloom.operators import marts, quality
 from strataloom.plans import flows
 from strataloom.schemas import RAW_MODEL, RAW_PAPER, RAW_POST, TABLES, table
-from strataloom.sources import days, ledger, staging, tables
+from strataloom.sources import audit_log, days, ledger, staging, tables
 
 UTC = dt.timezone.utc
 FIRST, SECOND = dt.datetime(2024, 3, 1, 5, tzinfo=UTC), dt.datetime(2024, 3, 2, 5, tzinfo=UTC)
@@ -326,3 +326,23 @@ def test_a_day_that_lost_its_rows(spark, tmp_path):
     store.replace_days(spark.createDataFrame([], ddl), [20240302])
     assert [r.date_id for r in store.read().lines.collect()] == [20240301]
     assert [r.date_id for r in store.read().models.collect()] == [20240301]
+
+
+def test_audit_log_follows_the_ledger(spark, home, tmp_path):
+    """After each load only its days are audited; the report is that of a full audit."""
+    flows.store_static(home, flows.StaticDimensions.generate(spark))
+    name = "dds.fact_models_metrics"
+    log = audit_log.AuditLog(home, name, str(tmp_path / "audit"))
+    assert log.update() == [] and log.report().agg(F.sum("violations")).first()[0] == 0
+    shown = lambda df: sorted(map(str, df.collect()))
+    for records, moment in zip(MODELS, (FIRST, SECOND)):
+        load_models(spark, home, records, moment)
+        if moment == SECOND:
+            # Faults that only an audit sees: a reference to nothing and a repeated key.
+            bad = [("nobody", 1, 1, 0.5, 20240302, 5)] * 2
+            home.append(spark.createDataFrame(bad, table(name).columns), name)
+        assert log.update() == [int(moment.strftime("%Y%m%d"))]
+        assert log.update() == []
+        targets = {n: home.frame(n) for n in TABLES if n.startswith("dds.")}
+        assert shown(log.report()) == shown(quality.audit(home.frame(name), table(name), targets))
+    assert {(r.rule, r.violations) for r in log.report().where("violations > 0").collect()} == {("key", 1), ("reference", 2)}
