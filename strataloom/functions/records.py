@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .moments import parse_iso
-from .tags import TagVocabulary, classify_tags, extract_owner
+from .tags import TagVocabulary, base_parts, extract_owner, known_tags, tag_columns
 
 
 def _no_strings() -> Column:
@@ -24,18 +24,21 @@ def _names(items: Column, field: str) -> Column:
 
 
 def with_tag_columns(df: DataFrame, vocabulary: TagVocabulary, tags: str = "tags") -> DataFrame:
-    return df.withColumn("_tags", classify_tags(F.col(tags), vocabulary)).select(
-        *[c for c in df.columns if c != tags], "_tags.*"
-    )
+    """Tags as columns of their own, so that those nobody reads are not derived."""
+    held = F.col(tags)
+    found = tag_columns(held, F.col("_known"), F.col("_bases"), vocabulary)
+    return df.withColumns(
+        {"_known": known_tags(held, vocabulary), "_bases": base_parts(held)}
+    ).select(*[c for c in df.columns if c != tags], *[c.alias(n) for n, c in found.items()])
 
 
-def project_models(raw: DataFrame, vocabulary: TagVocabulary) -> DataFrame:
-    """Model records: owner, defaults of 0 for metrics, tags as columns.
+def flat_models(raw: DataFrame, *kept: str) -> DataFrame:
+    """Model records without tag columns: owner, defaults of 0 for metrics, and ``kept``.
 
     JSON read with a schema cannot tell a missing metric from an explicit null;
     both become 0.
     """
-    flat = raw.select(
+    return raw.select(
         "id",
         extract_owner(F.col("id")).alias("owner"),
         parse_iso(F.col("created_at")).alias("created_at"),
@@ -45,9 +48,13 @@ def project_models(raw: DataFrame, vocabulary: TagVocabulary) -> DataFrame:
         "pipeline_tag",
         F.coalesce("trending_score", F.lit(0.0)).alias("trending_score"),
         *_carried(raw),
-        "tags",
+        *kept,
     )
-    return with_tag_columns(flat, vocabulary)
+
+
+def project_models(raw: DataFrame, vocabulary: TagVocabulary) -> DataFrame:
+    """Model records: owner, defaults of 0 for metrics, tags as columns."""
+    return with_tag_columns(flat_models(raw, "tags"), vocabulary)
 
 
 def project_papers(raw: DataFrame) -> DataFrame:

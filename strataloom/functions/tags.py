@@ -49,14 +49,29 @@ def _last(items: Column) -> Column:
     return F.try_element_at(items, F.lit(-1))
 
 
-def classify_tags(tags: Column, vocabulary: TagVocabulary) -> Column:
-    """Struct of eleven attributes; the first rule that fits a tag takes it.
+def known_tags(tags: Column, vocabulary: TagVocabulary) -> Column:
+    """The tags that an entry of the vocabulary may fit, in order: one look-up for each."""
+    entries = {*map(str.lower, vocabulary.languages), *vocabulary.libraries, *vocabulary.tasks}
+    return F.filter(tags, lambda t: _any_of(F.lower(t), sorted(entries)))
+
+
+def base_parts(tags: Column) -> Column:
+    """The base model tags, split at their colons."""
+    return F.transform(
+        F.filter(tags, lambda t: t.startswith("base_model:")), lambda t: F.split(t, ":")
+    )
+
+
+def tag_columns(
+    tags: Column, known: Column, bases: Column, vocabulary: TagVocabulary
+) -> dict[str, Column]:
+    """Eleven attributes by name; the first rule that fits a tag takes it.
 
     Plain tags are tried as language (case-sensitive), library and task; prefixed
     tags by their prefix.  The last licence, region and diffusers tag wins, the
     first deploy tag wins, arxiv tags are counted and the rest, NULLs included, is
     dropped.  Membership tests are hash look-ups and each attribute is one pass
-    over the tags.
+    over the tags, or over ``known`` and ``bases``, which are much fewer.
     """
 
     def is_language(t: Column) -> Column:
@@ -82,27 +97,32 @@ def classify_tags(tags: Column, vocabulary: TagVocabulary) -> Column:
     def last_after(prefix: str) -> Column:
         return after(prefix, _last(with_prefix(prefix)))
 
-    bases = F.transform(with_prefix("base_model:"), lambda t: F.split(t, ":"))
     base_names = F.transform(
         bases, lambda p: F.when(F.size(p) > 2, F.get(p, F.lit(2))).otherwise(F.get(p, F.lit(1)))
     )
     modified = F.filter(bases, lambda p: F.size(p) > 2)
 
-    return F.struct(
-        _or_null(F.filter(tags, is_language)).alias("language"),
-        _or_null(F.transform(F.filter(tags, is_library), F.lower)).alias("library"),
-        _or_null(F.transform(F.filter(tags, is_task), F.lower)).alias("task"),
-        last_after("license:").alias("license"),
-        _or_null(F.sort_array(F.array_distinct(base_names))).alias("base_models"),
-        F.get(_last(modified), F.lit(1)).alias("modification"),
-        last_after("region:").alias("region"),
-        last_after("diffusers:").alias("diffusers_pipeline"),
-        after("deploy:", F.get(with_prefix("deploy:"), F.lit(0))).alias("deploy"),
-        _or_null(
+    return {
+        "language": _or_null(F.filter(known, is_language)),
+        "library": _or_null(F.transform(F.filter(known, is_library), F.lower)),
+        "task": _or_null(F.transform(F.filter(known, is_task), F.lower)),
+        "license": last_after("license:"),
+        "base_models": _or_null(F.sort_array(F.array_distinct(base_names))),
+        "modification": F.get(_last(modified), F.lit(1)),
+        "region": last_after("region:"),
+        "diffusers_pipeline": last_after("diffusers:"),
+        "deploy": after("deploy:", F.get(with_prefix("deploy:"), F.lit(0))),
+        "dataset": _or_null(
             F.transform(with_prefix("dataset:"), lambda t: after("dataset:", t))
-        ).alias("dataset"),
-        F.coalesce(F.size(with_prefix("arxiv:")), F.lit(0)).alias("arxiv"),
-    )
+        ),
+        "arxiv": F.coalesce(F.size(with_prefix("arxiv:")), F.lit(0)),
+    }
+
+
+def classify_tags(tags: Column, vocabulary: TagVocabulary) -> Column:
+    """Struct of the attributes of ``tag_columns``."""
+    found = tag_columns(tags, known_tags(tags, vocabulary), base_parts(tags), vocabulary)
+    return F.struct(*[column.alias(name) for name, column in found.items()])
 
 
 def extract_owner(model_id: Column) -> Column:

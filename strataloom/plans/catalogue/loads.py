@@ -257,8 +257,8 @@ def post_load(g: Given) -> flows.Load:
 
 def model_load(g: Given) -> flows.Load:
     return flows.models_load(
-        g.models, no_rows(g, "dds.parties"), no_rows(g, "dds.dim_models"), g.known_users,
-        flows.StaticDimensions.generate(g.spark), MODEL_LOAD, MODEL_ORDER,
+        g.model_heads, no_rows(g, "dds.parties"), no_rows(g, "dds.dim_models"), g.known_users,
+        flows.StaticDimensions.generate(g.spark), MODEL_LOAD, MODEL_ORDER, whole=g.whole_models,
     )
 
 

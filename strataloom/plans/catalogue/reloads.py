@@ -55,8 +55,8 @@ def twice_loaded(g: Given, after_load: Callable[[Warehouse], object] = lambda ho
     before = F.col("loaded_at") < F.lit(MODEL_CUT)
     for part, moment in ((before, MODEL_CUT), (~before, MODEL_LOAD)):
         load = flows.models_load(
-            g.models.where(part), home.live("dds.parties"), home.live("dds.dim_models"),
-            g.known_users, static, moment, MODEL_ORDER,
+            g.model_heads.where(part), home.live("dds.parties"), home.live("dds.dim_models"),
+            g.known_users, static, moment, MODEL_ORDER, whole=g.whole_models,
         )
         flows.commit(home, load)
         after_load(home)

@@ -10,7 +10,7 @@ read twice, and a lost executor repeats a task and not the load.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -103,9 +103,15 @@ def models_load(
     loaded_at: dt.datetime,
     order: Sequence[str],
     strict: bool = False,
+    whole: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> Load:
-    """``parties`` and ``models`` are the live versions before the load."""
-    rows = stored(prepared_models(latest_by_key(batch, ["id"], order)), "load-rows")
+    """``parties`` and ``models`` are the live versions before the load.
+
+    ``whole`` adds the columns that ``batch`` lacks; they are derived, row by row, after the
+    load is reduced, so that wide columns of older rows are not sorted or shuffled.
+    """
+    newest = latest_by_key(batch, ["id"], order)
+    rows = stored(prepared_models(whole(newest)), "load-rows")
     owners = one_per_name(owner_types(rows.select(F.col("owner").alias("name")), known_users))
     party_change = apply_versions(parties, owners, "name", loaded_at)
     live = party_change.spoken
