@@ -11,16 +11,30 @@ from ..functions.moments import iso_text, parse_iso
 
 CORRUPT = "_corrupt_record"
 
+# Lines of a staged file at most.
+FILE_ROWS = 50_000
+
 
 def batch_path(root: str, entity: str, stage: str, batch: str) -> str:
     return f"{root}/entity={entity}/stage={stage}/batch_ts={batch}"
 
 
 def write_staged_json(df: DataFrame, root: str, entity: str, stage: str, batch: str) -> str:
-    """Stage one batch as JSON lines, timestamps as ISO text; replaces a rerun's files."""
+    """Stage one batch as JSON lines, timestamps as ISO text; replaces a rerun's files.
+
+    Lines repeat every field name, so files are compressed.  Such a file is read by one
+    task, so a task that stages much writes several of ``FILE_ROWS`` lines.
+    """
     moments = {n: iso_text(F.col(n)) for n, kind in df.dtypes if kind == "timestamp"}
     path = batch_path(root, entity, stage, batch)
-    df.withColumns(moments).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    (
+        df.withColumns(moments)
+        .write.mode("overwrite")
+        .option("ignoreNullFields", False)
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", FILE_ROWS)
+        .json(path)
+    )
     return path
 
 

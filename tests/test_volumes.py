@@ -62,3 +62,11 @@ def test_a_load_is_reduced_before_its_tags_are_split(given, monkeypatch):
         assert rows(load.rows[name]) == rows(bridge)
     assert load.rows["dds.bridge_models_datasets"].count() > 0
     assert rows(load.rejects) == rows(whole.rejects)
+
+
+def test_staged_lines_are_compressed_and_files_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "FILE_ROWS", 10, raising=False)
+    df = spark.range(25).coalesce(1).select(F.col("id").cast("string").alias("id"))
+    path = staging.write_staged_json(df, str(tmp_path), "models", "raw", "20240301T000000")
+    assert len(glob.glob(f"{path}/*.json.gz")) == 3
+    assert rows(staging.scan_json_lines(spark, path, "id string")) == rows(df)
