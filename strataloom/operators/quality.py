@@ -13,6 +13,11 @@ from ..schemas import Table
 SAMPLE_SIZE = 10
 
 
+def mentions(raw: DataFrame | Mapping[str, DataFrame]) -> DataFrame:
+    """``dictionary, name, n``: how often the raw layer mentions each name."""
+    return _labelled(raw).groupBy("dictionary", "name").agg(F.count(F.lit(1)).alias("n"))
+
+
 def compare_names(
     raw: DataFrame | Mapping[str, DataFrame], dictionaries: Mapping[str, DataFrame]
 ) -> DataFrame:
@@ -20,10 +25,11 @@ def compare_names(
 
     Names are counted before they are compared, so a very common name is one row
     by the time of the join.  ``raw`` is one frame per dictionary, or a single one of
-    (dictionary, name).  ``coverage`` reads the result twice; store it when
-    the raw layer is large.
+    (dictionary, name), or what ``mentions`` has made of these; store that for several
+    comparisons.  ``coverage`` reads the result twice; store it when the raw layer is large.
     """
-    mentioned = _labelled(raw).groupBy("dictionary", "name").agg(F.count(F.lit(1)).alias("n"))
+    counted = isinstance(raw, DataFrame) and "n" in raw.columns
+    mentioned = raw if counted else mentions(raw)
     known = _labelled(dictionaries).distinct().withColumn("known", F.lit(True))
     return mentioned.join(known, ["dictionary", "name"], "full_outer")
 

@@ -70,3 +70,11 @@ def test_staged_lines_are_compressed_and_files_bounded(spark, tmp_path, monkeypa
     path = staging.write_staged_json(df, str(tmp_path), "models", "raw", "20240301T000000")
     assert len(glob.glob(f"{path}/*.json.gz")) == 3
     assert rows(staging.scan_json_lines(spark, path, "id string")) == rows(df)
+
+
+def test_counted_mentions_are_compared_like_raw_names(spark):
+    raw = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "name string")
+    known = {"d": spark.createDataFrame([("b",), ("c",)], "name string")}
+    counted = quality.mentions({"d": raw})
+    assert rows(counted) == rows(spark.createDataFrame([("d", "a", 2), ("d", "b", 1)], "dictionary string, name string, n long"))
+    assert rows(quality.compare_names(counted, known)) == rows(quality.compare_names({"d": raw}, known))
