@@ -72,6 +72,23 @@ def test_staged_lines_are_compressed_and_files_bounded(spark, tmp_path, monkeypa
     assert rows(staging.scan_json_lines(spark, path, "id string")) == rows(df)
 
 
+def test_tag_columns_that_nobody_reads_are_not_derived(spark):
+    tags = [
+        ["en", "EN", "PyTorch", "license:a", "license:b", None, "arxiv:1", "base_model:x",
+         "base_model:merge:y", "text-generation", "base_model:", "deploy:z", "region:us"],
+        [], None, [None, ":"],
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(tags)], "id int, tags array<string>")
+    vocabulary = TagVocabulary.standard(spark)
+    split = with_tag_columns(df, vocabulary)
+    plan = split.select("license", "region")._jdf.queryExecution().optimizedPlan().toString()
+    assert "license:" in plan and "arxiv:" not in plan
+    assert rows(split) == rows(df.select("id", classify_tags(F.col("tags"), vocabulary).alias("t")).select("id", "t.*"))
+    first = split.where("id = 0").first()
+    assert (first.language, first.library, first.task) == (["en"], ["pytorch"], ["text-generation"])
+    assert (first.license, first.modification, first.arxiv) == ("b", "merge", 1)
+
+
 def test_counted_mentions_are_compared_like_raw_names(spark):
     raw = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "name string")
     known = {"d": spark.createDataFrame([("b",), ("c",)], "name string")}
