@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .moments import parse_iso
-from .tags import TagVocabulary, base_parts, extract_owner, known_tags, tag_columns
+from .tags import TagVocabulary, extract_owner, tag_columns, tag_groups
 
 
 def _no_strings() -> Column:
@@ -25,11 +25,11 @@ def _names(items: Column, field: str) -> Column:
 
 def with_tag_columns(df: DataFrame, vocabulary: TagVocabulary, tags: str = "tags") -> DataFrame:
     """Tags as columns of their own, so that those nobody reads are not derived."""
-    held = F.col(tags)
-    found = tag_columns(held, F.col("_known"), F.col("_bases"), vocabulary)
-    return df.withColumns(
-        {"_known": known_tags(held, vocabulary), "_bases": base_parts(held)}
-    ).select(*[c for c in df.columns if c != tags], *[c.alias(n) for n, c in found.items()])
+    groups = tag_groups(F.col(tags), vocabulary)
+    found = tag_columns(**{name: F.col(f"_{name}") for name in groups}, vocabulary=vocabulary)
+    return df.withColumns({f"_{name}": group for name, group in groups.items()}).select(
+        *[c for c in df.columns if c != tags], *[c.alias(n) for n, c in found.items()]
+    )
 
 
 def flat_models(raw: DataFrame, *kept: str) -> DataFrame:

@@ -50,20 +50,35 @@ def _last(items: Column) -> Column:
 
 
 def known_tags(tags: Column, vocabulary: TagVocabulary) -> Column:
-    """The tags that an entry of the vocabulary may fit, in order: one look-up for each."""
+    """The tags that an entry of the vocabulary may fit, in order: one look-up for each.
+
+    Most tags have a prefix; where no entry has a colon, these are not looked up.
+    """
     entries = {*map(str.lower, vocabulary.languages), *vocabulary.libraries, *vocabulary.tasks}
-    return F.filter(tags, lambda t: _any_of(F.lower(t), sorted(entries)))
 
+    def fits(t: Column) -> Column:
+        found = _any_of(F.lower(t), sorted(entries))
+        return found if any(":" in e for e in entries) else ~F.contains(t, F.lit(":")) & found
 
-def base_parts(tags: Column) -> Column:
-    """The base model tags, split at their colons."""
-    return F.transform(
-        F.filter(tags, lambda t: t.startswith("base_model:")), lambda t: F.split(t, ":")
-    )
+    return F.filter(tags, fits)
+
+
+def tag_groups(tags: Column, vocabulary: TagVocabulary) -> dict[str, Column]:
+    """Short lists of tags, in order, that the rules of ``tag_columns`` look through.
+
+    Plain tags of the vocabulary; dataset, deploy and diffusers tags begin with a d; the
+    others have a prefix too.  Each list is one pass over all tags, and the rules that
+    share it need no further one.
+    """
+    return {
+        "known": known_tags(tags, vocabulary),
+        "d_tags": F.filter(tags, lambda t: t.startswith("d")),
+        "others": F.filter(tags, lambda t: F.contains(t, F.lit(":")) & ~t.startswith("d")),
+    }
 
 
 def tag_columns(
-    tags: Column, known: Column, bases: Column, vocabulary: TagVocabulary
+    known: Column, d_tags: Column, others: Column, vocabulary: TagVocabulary
 ) -> dict[str, Column]:
     """Eleven attributes by name; the first rule that fits a tag takes it.
 
@@ -71,7 +86,7 @@ def tag_columns(
     tags by their prefix.  The last licence, region and diffusers tag wins, the
     first deploy tag wins, arxiv tags are counted and the rest, NULLs included, is
     dropped.  Membership tests are hash look-ups and each attribute is one pass
-    over the tags, or over ``known`` and ``bases``, which are much fewer.
+    over one of the ``tag_groups``.
     """
 
     def is_language(t: Column) -> Column:
@@ -89,7 +104,8 @@ def tag_columns(
         )
 
     def with_prefix(prefix: str) -> Column:
-        return F.filter(tags, lambda t: t.startswith(prefix))
+        group = d_tags if prefix.startswith("d") else others
+        return F.filter(group, lambda t: t.startswith(prefix))
 
     def after(prefix: str, tag: Column) -> Column:
         return F.substr(tag, F.lit(len(prefix) + 1))
@@ -97,10 +113,13 @@ def tag_columns(
     def last_after(prefix: str) -> Column:
         return after(prefix, _last(with_prefix(prefix)))
 
+    bases = with_prefix("base_model:")
     base_names = F.transform(
-        bases, lambda p: F.when(F.size(p) > 2, F.get(p, F.lit(2))).otherwise(F.get(p, F.lit(1)))
+        F.transform(bases, lambda t: F.split(t, ":")),
+        lambda p: F.when(F.size(p) > 2, F.get(p, F.lit(2))).otherwise(F.get(p, F.lit(1))),
     )
-    modified = F.filter(bases, lambda p: F.size(p) > 2)
+    # The second of three parts or more; only the tag it is taken from is cut.
+    modified = F.filter(bases, lambda t: F.contains(after("base_model:", t), F.lit(":")))
 
     return {
         "language": _or_null(F.filter(known, is_language)),
@@ -108,7 +127,7 @@ def tag_columns(
         "task": _or_null(F.transform(F.filter(known, is_task), F.lower)),
         "license": last_after("license:"),
         "base_models": _or_null(F.sort_array(F.array_distinct(base_names))),
-        "modification": F.get(_last(modified), F.lit(1)),
+        "modification": F.substring_index(after("base_model:", _last(modified)), ":", 1),
         "region": last_after("region:"),
         "diffusers_pipeline": last_after("diffusers:"),
         "deploy": after("deploy:", F.get(with_prefix("deploy:"), F.lit(0))),
@@ -121,7 +140,7 @@ def tag_columns(
 
 def classify_tags(tags: Column, vocabulary: TagVocabulary) -> Column:
     """Struct of the attributes of ``tag_columns``."""
-    found = tag_columns(tags, known_tags(tags, vocabulary), base_parts(tags), vocabulary)
+    found = tag_columns(**tag_groups(tags, vocabulary), vocabulary=vocabulary)
     return F.struct(*[column.alias(name) for name, column in found.items()])
 
 

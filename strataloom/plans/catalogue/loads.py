@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ...functions.keys import version_key
+from ...functions.keys import model_hash, version_key
 from ...functions.moments import date_id
 from ...operators import dimensions, latest, parties, versions
 from ...operators.lookups import with_calendar
@@ -43,14 +44,26 @@ def _text(moment: dt.datetime) -> str:
 # -- versions ---------------------------------------------------------------
 
 
-def model_rows(g: Given) -> DataFrame:
-    """Model rows the detail layer accepts, with their change hash."""
-    rows = with_calendar(flows.prepared_models(g.models), g.dates, "created_at")
-    return rows.where("owner IS NOT NULL AND date_id IS NOT NULL").select(
+def accepted_models(g: Given) -> DataFrame:
+    """Model rows the detail layer accepts, without what comes from their tags."""
+    heads = with_calendar(flows.named_models(g.model_heads), g.dates, "created_at")
+    return heads.where("owner IS NOT NULL AND date_id IS NOT NULL").drop(
+        "id", "created_at", "date_id", "time_id"
+    )
+
+
+def hashed_models(g: Given, accepted: DataFrame) -> DataFrame:
+    """Accepted rows with the attributes of their tags and the change hash."""
+    return g.whole_models(accepted).withColumn("hashdiff", model_hash()).select(
         "name", "owner", "license", "hashdiff", *MODEL_ORDER
     )
 
 
+def model_rows(g: Given) -> DataFrame:
+    """Model rows the detail layer accepts, with their change hash."""
+    return hashed_models(g, accepted_models(g))
+
+
 _VERSION_OUT = ("valid_from", "valid_to")
 
 
@@ -71,19 +84,28 @@ def scd2_versions(g: Given) -> DataFrame:
 
 
 def _applied(
-    g: Given, rows: DataFrame, key: str, order: tuple[str, ...], cut: dt.datetime
+    g: Given,
+    rows: DataFrame,
+    key: str,
+    order: tuple[str, ...],
+    cut: dt.datetime,
+    whole: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
     """Live and ended versions after one load of all rows since ``cut`` onto the history
-    before; the load is dated by its newest row.  The rows are derived once and stored."""
+    before; the load is dated by its newest row.  The rows are derived once and stored.
+
+    ``whole`` adds what ``rows`` lack, row by row: to the history, and to the load after it
+    is reduced.
+    """
     rows = g.stored(rows, "version-rows")
     newest = rows.select(F.date_format(F.max("loaded_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
     load = dt.datetime.fromisoformat(newest).replace(tzinfo=_UTC) if newest else cut
-    before = rows.where(F.col("loaded_at") < F.lit(cut))
+    before = whole(rows.where(F.col("loaded_at") < F.lit(cut)))
     live = g.stored(
         versions.rebuild_versions(before, key, order=order).where("is_current"), "live-versions"
     )
     after = rows.where(F.col("loaded_at") >= F.lit(cut))
-    incoming = latest.latest_by_key(after, [key], ["loaded_at", *order])
+    incoming = whole(latest.latest_by_key(after, [key], ["loaded_at", *order]))
     change = versions.apply_versions(live, incoming, key, load)
     return change.current.unionByName(change.closed)
 
@@ -120,8 +142,9 @@ def _incoming_sql(rows: str, key: str, order: str, cut: dt.datetime) -> dict:
     },
 )
 def scd2_models(g: Given) -> DataFrame:
-    rows = model_rows(g)
-    applied = _applied(g, rows, "name", MODEL_ORDER[1:], MODEL_CUT)
+    applied = _applied(
+        g, accepted_models(g), "name", MODEL_ORDER[1:], MODEL_CUT, lambda rows: hashed_models(g, rows)
+    )
     return _shown(applied, "name", "license", "hashdiff")
 
 

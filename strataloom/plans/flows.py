@@ -87,11 +87,14 @@ def entity_ids(change: VersionChange, key: str, out: str) -> DataFrame:
     )
 
 
+def named_models(batch: DataFrame) -> DataFrame:
+    """Raw model rows with their name and the owner's name without white space."""
+    return batch.withColumn("name", F.col("id")).withColumn("owner", strip_to_null(F.col("owner")))
+
+
 def prepared_models(batch: DataFrame) -> DataFrame:
     """Detail attributes and the change hash of raw model rows."""
-    return batch.withColumn("name", F.col("id")).withColumn(
-        "owner", strip_to_null(F.col("owner"))
-    ).withColumn("hashdiff", model_hash())
+    return named_models(batch).withColumn("hashdiff", model_hash())
 
 
 def models_load(
