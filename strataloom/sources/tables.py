@@ -19,6 +19,14 @@ from ..session import fresh_dir
 
 _BATCH_FORMAT = "%Y-%m-%d %H:%M:%S.%f"
 
+# Files of a fan-out.  A load is stored three times, so they are compressed well; a row group
+# is held whole by the task that writes or reads it, so it is small.
+FORM_FILES: dict[str, str | int] = {
+    "compression": "zstd",
+    "parquet.compression.codec.zstd.level": 5,
+    "parquet.block.size": 32 << 20,
+}
+
 
 def batch_moment(loaded_at: str | dt.datetime) -> dt.datetime:
     """The batch identifier; text must be ``YYYY-MM-DD HH:MM:SS.ffffff`` in UTC."""
@@ -76,11 +84,17 @@ def normalised_rows(df: DataFrame, spec: Table) -> DataFrame:
     return df.select(*out)
 
 
-def append_batch(df: DataFrame, path: str, loaded_at: str | dt.datetime) -> None:
-    """Add one load to a partitioned table; a rerun of the load replaces its rows."""
+def append_batch(
+    df: DataFrame, path: str, loaded_at: str | dt.datetime, **options: str | int
+) -> None:
+    """Add one load to a partitioned table; a rerun of the load replaces its rows.
+
+    ``options`` are those of the Parquet writer.
+    """
     (
         with_batch(df, loaded_at)
         .write.mode("overwrite")
+        .options(**options)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("loaded_at")
         .parquet(path)
@@ -88,21 +102,24 @@ def append_batch(df: DataFrame, path: str, loaded_at: str | dt.datetime) -> None
 
 
 def fan_out(df: DataFrame, entity: str, root: str, loaded_at: str | dt.datetime) -> dict[str, str]:
-    """Write one load in row, document and columnar form, computing it once."""
+    """Write one load in row, document and columnar form, computing it once.
+
+    The document form has every column, so it is written first and the others are derived
+    from its files.  Nothing of the load is cached, and a task holds one row group of what
+    it reads and one of what it writes.
+    """
     spec = table(f"ods.{entity}")
-    load = with_batch(df, loaded_at).persist()
-    forms = {
-        "rows": nullable_rows(load, spec),
-        "documents": document_rows(load),
-        "columnar": normalised_rows(load, spec),
-    }
-    paths = {}
-    try:
-        for form, rows in forms.items():
-            paths[form] = f"{root}/{form}/{entity}"
-            append_batch(rows.drop("loaded_at"), paths[form], loaded_at)
-    finally:
-        load.unpersist()
+    shapes = {"rows": nullable_rows, "columnar": normalised_rows}
+    load = with_batch(df, loaded_at)
+    for shape in shapes.values():
+        shape(load, spec)  # a load that lacks a column fails before anything is written
+    documents = document_rows(load)
+    paths = {form: f"{root}/{form}/{entity}" for form in ("rows", "documents", "columnar")}
+    append_batch(documents.drop("loaded_at"), paths["documents"], loaded_at, **FORM_FILES)
+    files = df.sparkSession.read.schema(documents.schema).parquet(paths["documents"])
+    stored = batch_scan(files, loaded_at, ["document.*", "loaded_at"])
+    for form, shape in shapes.items():
+        append_batch(shape(stored, spec).drop("loaded_at"), paths[form], loaded_at, **FORM_FILES)
     return paths
 
 

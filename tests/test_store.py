@@ -272,6 +272,73 @@ def test_batches(spark, tmp_path):
         tables.batch_scan(stored, "2024-03-02")
 
 
+FANNED = "id string, authors array<string>, published_at timestamp, upvotes int, position long"
+
+
+def paper_rows(spark, rows):
+    """Rows of papers; declared columns that are not given are null."""
+    df = spark.createDataFrame(rows, FANNED)
+    given = set(df.columns) | {"loaded_at"}
+    absent = [f for f in table("ods.papers").schema if f.name not in given]
+    return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent])
+
+
+def test_fan_out_forms_hold_the_load(spark, tmp_path):
+    """The forms equal what is derived from the load itself; a rerun replaces one load only."""
+    old = dt.datetime(1850, 5, 5, 10, 0, 0, 123456)
+    first = paper_rows(spark, [("gone", ["x"], None, 1, 0)])
+    load = paper_rows(spark, [
+        ("p", ["a", None], old, 3, 1), ("p", ["a", None], old, 3, 1), ("q", None, None, None, None),
+        (None, [], dt.datetime(2024, 1, 1), 0, 2),
+    ])
+    for df, moment in ((load, SECOND), (first, FIRST), (load, FIRST)):
+        paths = tables.fan_out(df, "papers", str(tmp_path), moment)
+    spec = table("ods.papers")
+    stamped = tables.with_batch(load, FIRST)
+    wanted = {
+        "rows": tables.nullable_rows(stamped, spec),
+        "documents": tables.document_rows(stamped),
+        "columnar": tables.normalised_rows(stamped, spec),
+    }
+    assert list(paths) == list(wanted)
+    for form, rows in wanted.items():
+        stored = spark.read.schema(rows.schema).parquet(paths[form])
+        for moment in (FIRST, SECOND):
+            got = tables.batch_scan(stored, moment).drop("loaded_at").collect()
+            assert sorted(map(str, got)) == sorted(map(str, rows.drop("loaded_at").collect())), form
+        assert stored.count() == 8
+
+
+def test_fan_out_computes_a_load_once_and_caches_nothing(spark, tmp_path, monkeypatch):
+    load = paper_rows(spark, [("p", ["a"], None, 3, 1), ("q", None, None, None, 2)])
+
+    def refuse(*_):
+        raise AssertionError("a load of any size does not fit the memory of the executors")
+
+    for name in ("persist", "cache"):
+        monkeypatch.setattr(type(load), name, refuse)
+    paths = tables.fan_out(load.withColumn("title", F.expr("uuid()")), "papers", str(tmp_path), FIRST)
+    title = {"rows": "title", "documents": "document.title", "columnar": "title"}
+    read = {form: spark.read.parquet(path) for form, path in paths.items()}
+    drawn = [sorted(r[0] for r in df.select(title[form]).collect()) for form, df in read.items()]
+    assert len(set(drawn[0])) == 2 and drawn[0] == drawn[1] == drawn[2]
+    # Three copies of a load are stored, so they are compressed well.
+    assert all(".zstd." in f for df in read.values() for f in df.inputFiles())
+
+
+def test_fan_out_checks_the_columns_before_it_writes(spark, tmp_path):
+    with pytest.raises(Exception, match="authors"):
+        tables.fan_out(paper_rows(spark, []).drop("authors"), "papers", str(tmp_path), FIRST)
+    assert not list(tmp_path.iterdir())
+
+
+def test_fan_out_of_no_rows_changes_nothing(spark, tmp_path):
+    load = paper_rows(spark, [("p", ["a"], None, 3, 1)])
+    for df, stored in ((load.limit(0), 0), (load, 1), (load.limit(0), 1)):
+        for path in tables.fan_out(df, "papers", str(tmp_path), FIRST).values():
+            assert spark.read.schema("loaded_at timestamp").parquet(path).count() == stored
+
+
 def test_gate(spark):
     names = spark.createDataFrame([("a",), ("a",), ("b",)], "name string")
     some = spark.createDataFrame([("a",)], "name string")
